@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 BUY, SELL = "BUY", "SELL"
 SIDES = (BUY, SELL)
@@ -17,33 +17,39 @@ PAIR_KEY = ("investor_id", "security_id")
 # Newest version of a trade first. The ids break ties between equal stamps.
 LATEST_FIRST = ("updated_ts", "security_id", "broker_id")
 
-TRADE = StructType.fromDDL("""
-    trade_id BIGINT, investor_id BIGINT, security_id BIGINT, broker_id BIGINT,
-    trade_ts TIMESTAMP_NTZ, trade_date DATE, side STRING,
-    qty DECIMAL(18,4), price DECIMAL(18,6), amount DECIMAL(20,4),
-    commission DECIMAL(12,4), channel STRING, updated_ts TIMESTAMP_NTZ
-""")
+_LONG, _INT, _TEXT = T.LongType(), T.IntegerType(), T.StringType()
+_DATE, _STAMP = T.DateType(), T.TimestampNTZType()
+_QTY, _PRICE = T.DecimalType(18, 4), T.DecimalType(18, 6)
+_AMOUNT, _FEE = T.DecimalType(20, 4), T.DecimalType(12, 4)
 
-LINEAGE = StructType.fromDDL("_ingest_ts TIMESTAMP, _ingest_job STRING")
+
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+TRADE = _struct(
+    trade_id=_LONG, investor_id=_LONG, security_id=_LONG, broker_id=_LONG,
+    trade_ts=_STAMP, trade_date=_DATE, side=_TEXT,
+    qty=_QTY, price=_PRICE, amount=_AMOUNT, commission=_FEE,
+    channel=_TEXT, updated_ts=_STAMP,
+)
 
 # Attributes a trade receives from its two dimensions.
 INVESTOR_ATTRIBUTES = ("investor_type", "country")
 SECURITY_ATTRIBUTES = ("short_code", "security_type", "market")
 
-SILVER = StructType.fromDDL("""
-    trade_id BIGINT, investor_id BIGINT, security_id BIGINT, broker_id BIGINT,
-    trade_ts TIMESTAMP_NTZ, trade_date DATE, trade_hour INT, side STRING,
-    qty DECIMAL(18,4), signed_qty DECIMAL(18,4), price DECIMAL(18,6),
-    amount DECIMAL(20,4), commission DECIMAL(12,4), net_amount DECIMAL(20,4),
-    channel STRING, investor_type STRING, country STRING, short_code STRING,
-    security_type STRING, market STRING, updated_ts TIMESTAMP_NTZ
-""")
-
-QUARANTINE = StructType.fromDDL("""
-    trade_id BIGINT, investor_id BIGINT, security_id BIGINT,
-    trade_ts TIMESTAMP_NTZ, amount DECIMAL(20,4), qty DECIMAL(18,4),
-    side STRING, reason STRING
-""")
+SILVER = _struct(
+    trade_id=_LONG, investor_id=_LONG, security_id=_LONG, broker_id=_LONG,
+    trade_ts=_STAMP, trade_date=_DATE, trade_hour=_INT, side=_TEXT,
+    qty=_QTY, signed_qty=_QTY, price=_PRICE, amount=_AMOUNT, commission=_FEE,
+    net_amount=_AMOUNT, channel=_TEXT, investor_type=_TEXT, country=_TEXT,
+    short_code=_TEXT, security_type=_TEXT, market=_TEXT, updated_ts=_STAMP,
+)
+
+QUARANTINE = _struct(
+    trade_id=_LONG, investor_id=_LONG, security_id=_LONG, trade_ts=_STAMP,
+    amount=_AMOUNT, qty=_QTY, side=_TEXT, reason=_TEXT,
+)
 
 DAILY_KEYS = ("trade_date", "security_id", "short_code", "security_type", "market", "channel")
 POSITION_KEYS = ("investor_id", "investor_type", "country",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -54,6 +54,11 @@ def build_session(app: str, master: str | None = None, input_bytes: int | None =
     return spark
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="depotlake-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
@@ -65,9 +70,7 @@ def shared_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="depotlake-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_root()
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
