@@ -58,9 +58,8 @@ def quality_report(df: DataFrame, keys: Sequence[str] = (TRADE_KEY,),
                    rules: dict[str, Column] | None = None) -> DataFrame:
     """Violations per rule; a rule without findings is listed with zero."""
     rules = {**null_rules(), **business_rules()} if rules is None else rules
-    return (empty_rule(df)
-            .unionByName(duplicate_rule(df, keys))
-            .unionByName(violations(df, rules)))
+    report = empty_rule(df).unionByName(duplicate_rule(df, keys))
+    return report.unionByName(violations(df, rules)) if rules else report
 
 
 def findings(report: DataFrame) -> dict[str, int]:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, SILVER, TRADE, TRADE_KEY
 from depotlake.operators import marts, quality, reconcile, silver
+from depotlake.operators.upkeep import live_files
 from depotlake.operators.upsert import upsert_into
+from depotlake.session import MIB
 from depotlake.sources.ingest import changed_since, high_water_mark, typed, with_lineage
 from depotlake.sources.store import MAIN, Store
 
@@ -23,9 +25,10 @@ PUBLISHED = (BRONZE, RESOLVED, DAILY, POSITION, BROKER,
 
 MONTHLY = {"trade_month": "date_format(trade_ts, 'yyyy-MM')"}
 DAILY_MONTHLY = {"trade_month": "date_format(trade_date, 'yyyy-MM')"}
-RESOLVED_LAYOUT = {"outcome": "outcome", **MONTHLY, "security_type": "security_type"}
-POSITION_LAYOUT = {"security_type": "security_type",
-                   "investor_bucket": "pmod(hash(investor_id), 16)"}
+
+# A folder should hold at least a few full files, or listing costs more than
+# pruning saves.
+FOLDER_BYTES = 1024 * MIB
 
 Audit = Callable[[str], None]
 
@@ -77,7 +80,8 @@ def load_bronze(store: Store, source: DataFrame, mode: str = "full",
         if mode == "full":
             store.write(BRONZE, with_lineage(rows, now, ref), ref, "full load", MONTHLY, ("trade_ts",))
             return
-        start = since or high_water_mark(store.read(BRONZE))
+        loaded = store.read(BRONZE, ref) if BRONZE in store.state(ref) else None
+        start = since or (high_water_mark(loaded) if loaded is not None else None)
         changes = rows if start is None else changed_since(rows, start)
         upsert_into(store, BRONZE, with_lineage(changes, now, ref), ref, layout=MONTHLY,
                     sort_by=("trade_ts",))
@@ -97,6 +101,29 @@ def quarantine_view(store: Store, ref: str = MAIN) -> DataFrame:
     return silver.quarantined_only(store.read(RESOLVED, ref))
 
 
+def stored_bytes(store: Store, table: str, ref: str = MAIN) -> int:
+    """Size of a table on disk, from a listing."""
+    return live_files(store, table, ref).agg(F.sum("length").alias("n")).first()["n"] or 0
+
+
+def resolved_layout(size: int, months: int) -> dict[str, str]:
+    """By outcome and month; also by security type once a month is large enough."""
+    layout = {"outcome": "outcome", **MONTHLY}
+    if size >= FOLDER_BYTES * max(months, 1):
+        layout["security_type"] = "security_type"
+    return layout
+
+
+def position_layout(size: int) -> dict[str, str]:
+    """By security type; large tables also by as many investor buckets as fill a
+    folder each."""
+    layout = {"security_type": "security_type"}
+    buckets = size // FOLDER_BYTES
+    if buckets >= 2:
+        layout["investor_bucket"] = f"pmod(hash(investor_id), {min(buckets, 4096)})"
+    return layout
+
+
 def audit_silver(store: Store, ref: str) -> None:
     resolved = store.read(RESOLVED, ref)
     row = reconcile.row_accounting(store.read(BRONZE, ref), resolved).first()
@@ -112,8 +139,10 @@ def build_silver(store: Store, investors: DataFrame, securities: DataFrame,
     def write(ref: str) -> None:
         bronze = store.read(BRONZE, ref).select(*TRADE.names)
         resolved = silver.resolve(bronze, investors, securities)
-        store.write(RESOLVED, resolved, ref, "full refresh", RESOLVED_LAYOUT,
-                    ("trade_ts", "security_id"))
+        months = len(store.manifest(BRONZE, store.state(ref)[BRONZE])["parts"])
+        layout = resolved_layout(stored_bytes(store, BRONZE, ref), months)
+        store.write(RESOLVED, resolved, ref, "full refresh", layout,
+                    ("security_type", "trade_ts", "security_id"))
 
     return write_audit_publish(store, "etl_silver", write,
                                lambda ref: audit_silver(store, ref), publish)
@@ -123,13 +152,18 @@ def audit_gold(store: Store, ref: str) -> None:
     """Marts hold each key once, count every valid trade, and no closed position."""
     trades = store.read(RESOLVED, ref).filter(F.col("outcome") == silver.VALID).count()
     for table, keys in ((DAILY, DAILY_KEYS), (POSITION, PAIR_KEY), (BROKER, BROKER_KEYS)):
-        quality.require_clean(quality.duplicate_rule(store.read(table, ref), keys), table)
-    for table in (DAILY, BROKER):
-        counted = store.read(table, ref).agg(F.sum("trade_count").alias("n")).first()["n"] or 0
-        if counted != trades:
-            raise quality.QualityError(f"{table} counts {counted} of {trades} trades")
-    closed = {"closed position": F.col("net_qty") == 0}
-    quality.require_clean(quality.violations(store.read(POSITION, ref), closed), POSITION)
+        mart = store.read(table, ref)
+        closed = F.col("net_qty") == 0 if table == POSITION else F.lit(False)
+        row = mart.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("trade_count").alias("trades"),
+            F.count_if(closed).alias("closed")).agg(
+            F.count_if(F.col("n") > 1).alias("repeated"), F.sum("closed").alias("closed"),
+            F.coalesce(F.sum("trades"), F.lit(0)).alias("trades")).first()
+        if row["repeated"] or row["closed"]:
+            raise quality.QualityError(f"{table}: {row['repeated']} repeated keys, "
+                                       f"{row['closed']} closed positions")
+        if table != POSITION and row["trades"] != trades:
+            raise quality.QualityError(f"{table} counts {row['trades']} of {trades} trades")
 
 
 def build_gold(store: Store, calculated_at: datetime | None = None, publish: bool = True) -> str:
@@ -137,12 +171,17 @@ def build_gold(store: Store, calculated_at: datetime | None = None, publish: boo
 
     def write(ref: str) -> None:
         trades = silver_view(store, ref)
-        store.write(DAILY, marts.daily_security(trades), ref, "full refresh", DAILY_MONTHLY,
-                    ("trade_date", "security_type", "security_id", "channel"))
-        store.write(POSITION, marts.positions(trades).withColumn("calculated_at", at), ref,
-                    "full refresh", POSITION_LAYOUT, ("investor_id", "security_id"))
-        store.write(BROKER, marts.broker_daily(trades), ref, "full refresh", DAILY_MONTHLY,
-                    ("trade_date", "broker_id"))
+        store.write_together(ref, [
+            {"table": DAILY, "df": marts.daily_security(trades), "operation": "full refresh",
+             "layout": DAILY_MONTHLY,
+             "sort_by": ("trade_date", "security_type", "security_id", "channel")},
+            {"table": POSITION, "df": marts.positions(trades).withColumn("calculated_at", at),
+             "operation": "full refresh",
+             "layout": position_layout(stored_bytes(store, RESOLVED, ref)),
+             "sort_by": ("investor_id", "security_id")},
+            {"table": BROKER, "df": marts.broker_daily(trades), "operation": "full refresh",
+             "layout": DAILY_MONTHLY, "sort_by": ("trade_date", "broker_id")},
+        ])
 
     return write_audit_publish(store, "etl_gold", write, lambda ref: audit_gold(store, ref), publish)
 
@@ -159,23 +198,28 @@ def refresh_serving(store: Store, publish: bool = True) -> str:
     def write(ref: str) -> None:
         daily = store.read(DAILY, ref).select(*store.columns(DAILY, ref))
         # Only the average price may be NULL: a group without quantity has none.
-        total = daily.select(*(F.col(c) if c == "vwap" else required(c, t)
-                               for c, t in daily.dtypes))
-        store.write(SERVING_DAILY, total, ref, "refresh", DAILY_MONTHLY,
-                    ("trade_date", "security_type", "security_id", "channel"))
+        strict = daily.select(*(F.col(c) if c == "vwap" else required(c, t)
+                                for c, t in daily.dtypes))
         position = store.read(POSITION, ref).select(*store.columns(POSITION, ref))
-        store.write(SERVING_POSITION, position, ref, "refresh", {},
-                    ("investor_id", "security_type", "security_id"), ("investor_id",))
         detail = store.read(RESOLVED, ref).filter(F.col("outcome") == silver.VALID)
-        store.write(SERVING_TRADE, detail.select(*SILVER.names), ref, "refresh", MONTHLY,
-                    ("trade_date", "security_type", "security_id", "trade_id"),
-                    ("investor_id", "broker_id"))
+        store.write_together(ref, [
+            {"table": SERVING_DAILY, "df": strict, "operation": "refresh",
+             "layout": DAILY_MONTHLY,
+             "sort_by": ("trade_date", "security_type", "security_id", "channel")},
+            {"table": SERVING_POSITION, "df": position, "operation": "refresh", "layout": {},
+             "sort_by": ("investor_id", "security_type", "security_id"),
+             "bloom_on": ("investor_id",)},
+            {"table": SERVING_TRADE, "df": detail.select(*SILVER.names), "operation": "refresh",
+             "layout": MONTHLY,
+             "sort_by": ("trade_date", "security_type", "security_id", "trade_id"),
+             "bloom_on": ("investor_id", "broker_id")},
+        ])
 
     def audit(ref: str) -> None:
         for copy, source in ((SERVING_DAILY, store.read(DAILY, ref)),
                              (SERVING_POSITION, store.read(POSITION, ref)),
                              (SERVING_TRADE, silver_view(store, ref))):
-            have, want = store.read(copy, ref).count(), source.count()
+            have, want = store.rows_written(copy, ref), source.count()
             if have != want:
                 raise quality.QualityError(f"{copy} has {have} rows instead of {want}")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import month_of, total
 from depotlake.model import LATEST_FIRST, TRADE
-from depotlake.operators import evolution, marts, upkeep
+from depotlake.operators import evolution, marts, quality, upkeep
 from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.reports import midnight, totals
 from depotlake.operators.upsert import (merge, resent_batch, sample_batch, update_all,
@@ -282,7 +282,6 @@ def wap_isolation(spark, folder):
     select * replace (trade_id + 900000000 as trade_id, 999999 as broker_id) from d"""))
 def wap_repair(spark, folder):
     """The delivery is audited and repaired on the stage, then published."""
-    from depotlake.operators import quality
     store = trade_store(spark, folder, "repair")
     store.create_ref("stage")
     store.append("trade", resent_batch(_plain(store.read("trade")), KEY_SHIFT, BAD_BROKER), "stage")
@@ -399,8 +398,7 @@ def compact_preserves_rows(spark, folder):
 def table_totals_as_of(spark, folder):
     """The table as main showed it before the accident, by time."""
     store = trade_store(spark, folder, "as-of-time")
-    before = datetime.fromisoformat(store.manifest("trade", 1)["made_at"])
+    loaded = store.history()[-1]["made_at"]
     store.write("trade", update_all(_plain(store.read("trade")), {"amount": F.col("amount") * 100}),
                 MAIN, "update", sort_by=("trade_ts",))
-    after_first = max(before, datetime.fromisoformat(store._ref(MAIN, 1)["made_at"]))
-    return totals(store.read("trade", as_of=after_first))
+    return totals(store.read("trade", as_of=datetime.fromisoformat(loaded)))

@@ -59,6 +59,12 @@ class SharedFiles:
             return []
         return sorted(status.getPath().getName() for status in fs.listStatus(folder))
 
+    def stamps(self, path: str) -> list[tuple[str, int, int]]:
+        """(name, length, modification time) of the files directly below a folder."""
+        fs, folder = self._open(path)
+        return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime())
+                      for s in fs.listStatus(folder))
+
     def leaf_folders(self, path: str, depth: int) -> list[str]:
         """Folders ``depth`` levels below ``path``, as paths relative to it."""
         if depth == 0:
