@@ -86,18 +86,21 @@ def reconciliation_gate(balance: DataFrame, position: DataFrame) -> None:
 def row_accounting(bronze: DataFrame, resolved: DataFrame, key: str = "trade_id") -> DataFrame:
     """Where every bronze row went. Duplicates come from bronze alone, so the
     identity bronze = valid + quarantined + duplicates is a real check."""
+    none = F.lit(0).cast("bigint")
     source = bronze.agg(F.count(F.lit(1)).alias("bronze"),
                         F.count_distinct(key).alias("_keys"),
                         F.count_if(F.col(key).isNull()).alias("_nulls"))
     # All rows without a key count as one group when duplicates are removed.
     groups = F.col("_keys") + F.when(F.col("_nulls") > 0, 1).otherwise(0)
-    split = resolved.agg(F.count_if(F.col("outcome") == "valid").alias("silver"),
+    before = source.select("bronze", none.alias("silver"), none.alias("quarantine"),
+                           (F.col("bronze") - groups).alias("duplicates"))
+    after = resolved.agg(F.count_if(F.col("outcome") == "valid").alias("silver"),
                          F.count_if(F.col("outcome") == "quarantined").alias("quarantine"))
-    row = source.select("bronze", (F.col("bronze") - groups).alias("duplicates"),
-                        split.select("silver").scalar().alias("silver"),
-                        split.select("quarantine").scalar().alias("quarantine"))
+    after = after.withColumns({"bronze": none, "duplicates": none})
+    names = ("bronze", "silver", "quarantine", "duplicates")
+    row = before.unionByName(after).agg(*(F.sum(n).alias(n) for n in names))
     balanced = F.col("bronze") == F.col("silver") + F.col("quarantine") + F.col("duplicates")
-    return row.select("bronze", "silver", "quarantine", "duplicates", balanced.alias("balanced"))
+    return row.withColumn("balanced", balanced)
 
 
 def check(number: int, name: str, expected, found) -> tuple:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import holds
@@ -31,15 +31,25 @@ def without(rows: DataFrame, keys: DataFrame, key: str,
 
 
 def merge(target: DataFrame, source: DataFrame, key: str = TRADE_KEY,
-          newest_first: Sequence[str] = LATEST_FIRST,
-          limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+          newest_first: Sequence[str] = LATEST_FIRST) -> DataFrame:
     """The target after an upsert: newer changes replace, unknown keys come in,
-    older or equally old changes are ignored. ``target`` is unique on ``key``."""
-    changes = latest_per_key(source, (key,), newest_first)
-    hit = matches(target, changes, key, newest_first[0], limit)
-    kept = without(target, hit.filter("newer"), key, limit)
-    fresh = without(changes, hit.filter("not newer"), key, limit)
-    return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
+    older or equally old changes are ignored. ``target`` is unique on ``key``.
+
+    Both sides are read once and ranked together, so there is one shuffle, and
+    each map task sends one row per key. A target row without a stamp stays:
+    nothing is known to be newer. Rows without a key match nothing and are kept.
+    """
+    stamp, *ties = newest_first
+    rows = target.withColumn("_new", F.lit(False)).unionByName(
+        source.select(*target.columns).withColumn("_new", F.lit(True)))
+    rest = [c for c in target.columns if c != key and c not in newest_first]
+    settled = ~F.col("_new") & F.col(stamp).isNull()
+    order = [settled.desc(), F.col(stamp).desc_nulls_last(), F.col("_new").asc(),
+             *(F.col(c).desc_nulls_last() for c in (*ties, *rest))]
+    keyed = rows.filter(F.col(key).isNotNull())
+    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    first = ranked.filter("_rank = 1").select(*target.columns)
+    return first.unionByName(rows.filter(F.col(key).isNull()).select(*target.columns))
 
 
 def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str = TRADE_KEY,

@@ -5,12 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 from time import perf_counter
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import human_count
 from depotlake.model import REQUIRED, TRADE
-from depotlake.operators import reconcile, reports, upkeep
+from depotlake.operators import evolution, reconcile, reports, upkeep
 from depotlake.operators.quality import null_rules
 from depotlake.operators.upsert import resent_batch
 from depotlake.plans import jobs
@@ -246,27 +246,22 @@ def pruning_probe(spark, folder):
 
 
 @query("clustered_layout", sql(TRADES, """
-    select count(distinct strftime(trade_ts, '%Y-%m')) as months, count(*) as rows,
-           true as in_order from t"""))
+    select strftime(trade_ts, '%Y-%m') as trade_month, count(*) as rows,
+           min(trade_ts) as first_trade, max(trade_ts) as last_trade from t group by 1"""))
 def clustered_layout(spark, folder):
-    """Inside every file the rows are in trade order."""
+    """What each month folder of the stored table holds."""
     store = published_trades(spark, folder, "clustered")
-    rows = store.read(jobs.BRONZE, with_part=True)
-    # Rows carry an increasing number in file order; a file is in order when no
-    # row is earlier than the latest of the rows before it.
-    placed = rows.select("trade_month", "trade_ts", "_part", F.monotonically_increasing_id().alias("at"))
-    before = Window.partitionBy("_part").orderBy("at")
-    return placed.withColumn("previous", F.lag("trade_ts").over(before)).agg(
-        F.count_distinct("trade_month").alias("months"), F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.bool_and(F.col("trade_ts") >= F.col("previous")), F.lit(True)).alias("in_order"))
+    return store.read(jobs.BRONZE).groupBy("trade_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("trade_ts").alias("first_trade"),
+        F.max("trade_ts").alias("last_trade"))
 
 
 @query("retention_plan")
 def retention_plan(spark, folder):
-    """Seven loads of the bronze table: the first ones could expire in ten days."""
+    """Seven versions of the bronze table: the first ones may expire in ten days."""
     store = published_trades(spark, folder, "retention")
-    for _ in range(6):
-        jobs.load_bronze(store, tables.trades(spark, folder), unique=False, rules={})
+    for number in range(6):
+        evolution.add_columns(store, jobs.BRONZE, MAIN, {f"note_{number}": "string"})
     later = datetime.now(timezone.utc) + timedelta(days=10)
     return upkeep.retention_plan(store, jobs.BRONZE, later)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from depotlake.operators import marts
+from depotlake.operators.dedup import latest_per_key
 from depotlake.plans.lake_queries import silver_trades
 from depotlake.plans.registry import SILVER, TRADES, query, sql
 from depotlake.sources import tables
@@ -20,7 +21,8 @@ def gold_positions(spark, folder):
 
 @query("gold_broker_daily", sql(SILVER + " broker", "select * from broker"))
 def gold_broker_daily(spark, folder):
-    return marts.broker_daily(silver_trades(spark, folder))
+    """Needs no attribute of a dimension, so none is joined."""
+    return marts.broker_daily(latest_per_key(tables.trades(spark, folder)))
 
 
 @query("eod_balance", sql(TRADES, """
