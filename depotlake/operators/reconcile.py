@@ -84,23 +84,31 @@ def reconciliation_gate(balance: DataFrame, position: DataFrame) -> None:
 
 
 def row_accounting(bronze: DataFrame, resolved: DataFrame, key: str = "trade_id") -> DataFrame:
-    """Where every bronze row went. Duplicates come from bronze alone, so the
-    identity bronze = valid + quarantined + duplicates is a real check."""
-    none = F.lit(0).cast("bigint")
-    source = bronze.agg(F.count(F.lit(1)).alias("bronze"),
-                        F.count_distinct(key).alias("_keys"),
-                        F.count_if(F.col(key).isNull()).alias("_nulls"))
-    # All rows without a key count as one group when duplicates are removed.
-    groups = F.col("_keys") + F.when(F.col("_nulls") > 0, 1).otherwise(0)
-    before = source.select("bronze", none.alias("silver"), none.alias("quarantine"),
-                           (F.col("bronze") - groups).alias("duplicates"))
-    after = resolved.agg(F.count_if(F.col("outcome") == "valid").alias("silver"),
-                         F.count_if(F.col("outcome") == "quarantined").alias("quarantine"))
-    after = after.withColumns({"bronze": none, "duplicates": none})
-    names = ("bronze", "silver", "quarantine", "duplicates")
-    row = before.unionByName(after).agg(*(F.sum(n).alias(n) for n in names))
-    balanced = F.col("bronze") == F.col("silver") + F.col("quarantine") + F.col("duplicates")
-    return row.withColumn("balanced", balanced)
+    """Where every bronze row went, followed key by key through one shuffle.
+
+    A key must leave the hop exactly once: its further rows are duplicates, a key
+    that does not come out is lost, one that comes out twice is repeated.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    outcome = F.col("outcome")
+    before = bronze.select(key, one.alias("came"), none.alias("valid"), none.alias("held"))
+    after = resolved.select(key, none.alias("came"),
+                            F.when(outcome == "valid", one).otherwise(none).alias("valid"),
+                            F.when(outcome == "quarantined", one).otherwise(none).alias("held"))
+    per_key = before.unionByName(after).groupBy(key).agg(
+        *(F.sum(n).alias(n) for n in ("came", "valid", "held")))
+    left = F.col("valid") + F.col("held")
+    row = per_key.agg(
+        F.coalesce(F.sum("came"), none).alias("bronze"),
+        F.coalesce(F.sum("valid"), none).alias("silver"),
+        F.coalesce(F.sum("held"), none).alias("quarantine"),
+        F.coalesce(F.sum(F.greatest(F.col("came") - 1, none)), none).alias("duplicates"),
+        F.count_if((F.col("came") > 0) & (left == 0)).alias("lost"),
+        F.count_if((left > 1) | ((F.col("came") == 0) & (left > 0))).alias("repeated"),
+    )
+    explained = F.col("silver") + F.col("quarantine") + F.col("duplicates")
+    whole = (F.col("bronze") == explained) & (F.col("lost") == 0) & (F.col("repeated") == 0)
+    return row.withColumn("balanced", whole)
 
 
 def check(number: int, name: str, expected, found) -> tuple:
