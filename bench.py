@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from depotlake.model import REQUIRED, TRADE  # noqa: E402
 from depotlake.operators import reconcile, reports, upkeep  # noqa: E402
+from depotlake.operators.joins import broadcast_if_small  # noqa: E402
 from depotlake.operators.dedup import latest_per_key  # noqa: E402
 from depotlake.operators.quality import null_rules  # noqa: E402
 from depotlake.operators.upsert import update_all, upsert_into  # noqa: E402
@@ -99,7 +100,7 @@ def run_changes(spark: SparkSession, folder: str) -> dict[str, float]:
         return update_all(rows, {"qty": F.col("qty") * 2, "updated_ts": newer})
 
     small = tables.table(spark, folder, "part").filter("p_size = 1").select("p_partkey")
-    scattered = changed("true").join(F.broadcast(small), F.col("security_id") == F.col("p_partkey"),
+    scattered = changed("true").join(broadcast_if_small(small), F.col("security_id") == F.col("p_partkey"),
                                      "left_semi")
     out = {
         "upsert_1pct_one_month": clock(lambda: upsert_into(

@@ -54,14 +54,15 @@ def merge(target: DataFrame, source: DataFrame, key: str = TRADE_KEY,
 
 def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str = TRADE_KEY,
                 newest_first: Sequence[str] = LATEST_FIRST, sort_by: Sequence[str] = (),
-                layout: Mapping[str, str] | None = None, tag: str | None = None) -> int:
+                layout: Mapping[str, str] | None = None,
+                batch: tuple[str, int] | None = None) -> int:
     """Upsert into a stored table, rewriting only parts that hold a replaced row.
 
     A row whose change moves it to another partition leaves its old part that
-    way. ``tag`` makes the call repeatable: a change set is applied once.
+    way. ``batch`` names a feed and a batch of it: one already contained is skipped.
     """
     current = store.state(ref).get(table)
-    if current and tag and store.has_tag(table, ref, tag):
+    if current and batch and store.applied(table, ref, batch[0]) >= batch[1]:
         return current
     spark = store.spark
     scratch = workspace(spark, "upsert")
@@ -69,7 +70,7 @@ def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str
     latest_per_key(source, (key,), newest_first).write.parquet(f"{scratch}/changes")
     changes = spark.read.parquet(f"{scratch}/changes")
     if not current:
-        version = store.write(table, changes, ref, "upsert", layout, sort_by, tag=tag)
+        version = store.write(table, changes, ref, "upsert", layout, sort_by, batch=batch)
         store.files.remove(scratch)
         return version
     names = store.columns(table, ref)
@@ -79,11 +80,15 @@ def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str
     # As many values as the table has parts with a replaced row.
     dropped = [r[PART] for r in hit.filter("newer").select(PART).distinct().collect()]
     fresh = without(changes, hit.filter("not newer"), key).select(*names)
+    if not dropped and fresh.isEmpty():
+        store.files.remove(scratch)
+        return current
     rows = fresh
     if dropped:
         affected = store.read(table, ref, parts=dropped)
         rows = without(affected, hit.filter("newer"), key).select(*names).unionByName(fresh)
-    version = store.write(table, rows, ref, "upsert", layout, sort_by, dropped=dropped, tag=tag)
+    version = store.write(table, rows, ref, "upsert", layout, sort_by, dropped=dropped,
+                          batch=batch)
     store.files.remove(scratch)
     return version
 

@@ -16,12 +16,13 @@ def stream_upsert(store: Store, table: str, folder: str, schema: StructType, che
                   sort_by: Sequence[str] = (), files_per_batch: int = 1000) -> None:
     """Bring a table up to date with the change files that arrived in ``folder``.
 
-    The checkpoint says which files are done, the batch tag which upserts are:
-    a batch that is delivered again after a failure changes nothing.
+    A batch that is delivered again after a failure is known by the id of its
+    checkpoint and its number. With a new checkpoint all files come again in
+    other batches; the upsert then finds that nothing in them is newer.
     """
     def apply(batch: DataFrame, number: int) -> None:
-        upsert_into(store, table, batch, ref, sort_by=sort_by, layout=layout,
-                    tag=f"{name}/{number}")
+        feed = store.files.read(f"{checkpoint}/metadata")["id"]
+        upsert_into(store, table, batch, ref, sort_by=sort_by, layout=layout, batch=(feed, number))
 
     source = (store.spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", files_per_batch).parquet(folder))

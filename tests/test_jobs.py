@@ -161,8 +161,10 @@ def test_stream_equals_batch_and_survives_a_replay(spark, store, trade_rows):
     assert run("first") == {1: 6, 2: 5, 3: 5}
     versions = store.versions("trade")
     assert run("first") == {1: 6, 2: 5, 3: 5}
-    # A lost checkpoint delivers every batch again; the tags stop them.
-    assert run("second") == {1: 6, 2: 5, 3: 5}
-    assert store.versions("trade") == versions
+    # A lost checkpoint delivers every file again, in a batch with a new one.
+    trade_rows({"trade_id": 4}).coalesce(1).write.mode("append").parquet(f"{scratch}/feed")
+    assert run("second") == {1: 6, 2: 5, 3: 5, 4: 5}
+    assert len(store.versions("trade")) == len(versions) + 1
+    versions = store.versions("trade")
     assert store.state()["trade"] == versions[-1]
     assert MAIN in store.refs()

@@ -139,3 +139,11 @@ def test_speedup_of_a_free_layer(spark):
     assert found == {"a": 1.0, "b": 25.0, "c": 100.0}
     label = costs.withColumn("layer", F.lit("gold")).select(reports.layer_label("layer").alias("l"))
     assert label.first().l == "4. mart"
+
+
+def test_a_hot_group_is_counted_by_many_tasks(silver_rows):
+    """Distinct counts shuffle by group and counted value before the last merge."""
+    from conftest import plan_of
+    for mart in (marts.daily_security, marts.broker_daily):
+        first_shuffle = plan_of(mart(silver_rows({}))).split("Exchange hashpartitioning(")[-1]
+        assert "investor_id" in first_shuffle.split(")")[0]

@@ -96,11 +96,19 @@ def test_untouched_parts_are_shared(store, trade_rows):
     assert store.read("trade").count() == 6
 
 
-def test_a_tagged_batch_applies_once(store, trade_rows):
-    batch = trade_rows({"broker_id": 6})
-    first = upsert_into(store, "trade", batch, MAIN, tag="q/0")
-    assert upsert_into(store, "trade", batch, MAIN, tag="q/0") == first
-    assert len(store.versions("trade")) == 1
+def test_a_batch_of_a_feed_applies_once(store, trade_rows):
+    first = upsert_into(store, "trade", trade_rows({"broker_id": 6}), MAIN, batch=("q", 0))
+    other = trade_rows({"trade_id": 2})
+    assert upsert_into(store, "trade", other, MAIN, batch=("q", 0)) == first
+    assert upsert_into(store, "trade", other, MAIN, batch=("q", 1)) == 2
+    assert upsert_into(store, "trade", trade_rows({"trade_id": 3}), MAIN, batch=("r", 0)) == 3
+    assert (store.applied("trade", MAIN, "q"), store.applied("trade", MAIN, "r")) == (1, 0)
+
+
+def test_nothing_newer_writes_no_version(store, trade_rows):
+    store.write("trade", trade_rows({}), MAIN)
+    assert upsert_into(store, "trade", trade_rows({"broker_id": 6}), MAIN) == 1
+    assert store.versions("trade") == [1]
 
 
 def test_update_where_keeps_rows_with_unknown_condition(trade_rows):
