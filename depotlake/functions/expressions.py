@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,12 @@ def holds(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
+def at(moment: datetime) -> Column:
+    """A literal without time zone: neither the driver's zone nor the session's
+    shifts it."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def by_side(buy: Column, sell: Column) -> Column:
     """Pick by trade side; an unknown side gives NULL instead of a sale."""
     side = F.col("side")
@@ -47,10 +55,20 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def rounded(value: Column, digits: int, precision: int = 24) -> Column:
+    """A double as a decimal of ``digits`` places, halves away from zero.
+
+    The first cast takes away the noise in the last bits, so that a half is seen
+    as a half whichever engine divided.
+    """
+    return (value.cast(f"decimal({precision + 3},{digits + 3})")
+            .cast(f"decimal({precision},{digits})"))
+
+
 def vwap() -> Column:
     """Volume-weighted average price, an aggregate expression."""
     weighted = F.sum(F.col("price") * F.col("qty"))
-    return F.round(ratio(weighted, F.sum("qty")), 6)
+    return rounded(ratio(weighted, F.sum("qty")), 6)
 
 
 def total(column: Column | str, scale_type: str) -> Column:

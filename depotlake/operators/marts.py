@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import by_side, cash_flow, total, vwap
+from depotlake.functions.expressions import by_side, cash_flow, rounded, total, vwap
 from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, POSITION_KEYS
 
 
@@ -58,6 +58,6 @@ def eod_balance(trades: DataFrame) -> DataFrame:
         F.count("price").alias("price_count"),
     ).filter(F.col("nominal_qty") != 0)
     mean_price = F.try_divide(F.col("price_sum").cast("double"), F.col("price_count"))
-    worth = F.round(F.col("nominal_qty").cast("double") * mean_price, 4).cast("decimal(20,4)")
+    worth = rounded(F.col("nominal_qty").cast("double") * mean_price, 4, 20)
     return pairs.select(*PAIR_KEY, last_date.alias("value_date"), "nominal_qty",
                         worth.alias("market_value"))

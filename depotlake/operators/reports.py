@@ -7,7 +7,7 @@ from datetime import date, datetime, time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import month_of, month_start, total
+from depotlake.functions.expressions import at, month_start, rounded, total
 from depotlake.operators.joins import join_dimension
 
 
@@ -22,7 +22,7 @@ def trades_between(trades: DataFrame, start: datetime, end: datetime) -> DataFra
     as well: a reader prunes directories only on the partition column itself.
     """
     stamp = F.col("trade_ts")
-    kept = trades.filter((stamp >= F.lit(start)) & (stamp < F.lit(end)))
+    kept = trades.filter((stamp >= at(start)) & (stamp < at(end)))
     if "trade_month" in trades.columns:
         kept = kept.filter(F.col("trade_month").between(start.strftime("%Y-%m"),
                                                         end.strftime("%Y-%m")))
@@ -89,14 +89,14 @@ def top_on_mart(daily: DataFrame, first: date, last: date, k: int = 10) -> DataF
 def monthly_channel_trend(trades: DataFrame) -> DataFrame:
     return trades.groupBy(month_start("trade_date").alias("month"), "channel").agg(
         F.count(F.lit(1)).alias("trade_count"),
-        F.round(F.sum("amount").cast("double") / 1e6, 2).alias("volume_millions"),
+        rounded(F.sum("amount").cast("double") / 1e6, 2).alias("volume_millions"),
     ).orderBy("month", "channel")
 
 
 def channel_summary(trades: DataFrame) -> DataFrame:
     return trades.groupBy("channel").agg(
         F.count(F.lit(1)).alias("trade_count"),
-        F.round(F.sum("amount").cast("double") / 1e9, 2).alias("volume_billions"),
+        rounded(F.sum("amount").cast("double") / 1e9, 2).alias("volume_billions"),
         F.count_distinct("investor_id").alias("unique_investors"),
     ).orderBy(F.desc("volume_billions"), "channel")
 
@@ -106,7 +106,7 @@ def totals(trades: DataFrame) -> DataFrame:
     return trades.agg(
         F.count(F.lit(1)).alias("trade_count"),
         total("amount", "decimal(24,4)").alias("volume"),
-        F.round(mean, 4).alias("mean_amount"),
+        rounded(mean, 4).alias("mean_amount"),
     )
 
 
@@ -124,7 +124,7 @@ def speedup(costs: DataFrame, label: str, cost: str) -> DataFrame:
     scalar subquery, so no row has to move for it."""
     worst = costs.agg(F.max(cost)).scalar()
     factor = worst.cast("double") / F.greatest(F.col(cost), F.lit(1)).cast("double")
-    return costs.select(label, cost, F.round(factor, 4).alias("factor"))
+    return costs.select(label, cost, rounded(factor, 4).alias("factor"))
 
 
 def layer_label(column: str) -> Column:
@@ -135,7 +135,3 @@ def layer_label(column: str) -> Column:
             .when(name == "serving", "3. serving detail")
             .when(name == "gold", "4. mart")
             .otherwise(name))
-
-
-def month_label(stamp: str) -> Column:
-    return month_of(stamp)

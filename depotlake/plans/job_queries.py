@@ -8,14 +8,14 @@ from time import perf_counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import human_count
+from depotlake.functions.expressions import at, human_count
 from depotlake.model import REQUIRED, TRADE
 from depotlake.operators import evolution, reconcile, reports, upkeep
 from depotlake.operators.quality import null_rules
 from depotlake.operators.upsert import resent_batch
 from depotlake.plans import jobs
 from depotlake.plans.recon_queries import balance
-from depotlake.plans.registry import FAULTY, SILVER, TRADES, query, sql
+from depotlake.plans.registry import FAULTY, LATEST, SILVER, TRADES, query, sql
 from depotlake.plans.report_queries import QUARTER, SECURITY_TYPE
 from depotlake.plans.write_queries import (BAD_BROKER, KEY_SHIFT, labelled, new_store)
 from depotlake.sources import tables
@@ -177,15 +177,12 @@ def bronze_lineage(spark, folder):
         F.count_distinct("_ingest_ts").alias("stamps"))
 
 
-@query("incremental_load", sql(TRADES, "select * from t where updated_ts < timestamp '2000-01-01'"
-                               " and false union all select * exclude (rn) from (select *, row_number()"
-                               " over (partition by trade_id order by updated_ts desc, security_id desc,"
-                               " broker_id desc) as rn from t) where rn = 1"))
+@query("incremental_load", sql(LATEST, "select * from d"))
 def incremental_load(spark, folder):
     """A first load up to a date, then one increment from the high-water mark."""
     trades = tables.trades(spark, folder)
     store = new_store(spark, "incremental")
-    first = trades.filter(F.col("updated_ts") < F.lit(datetime(2000, 1, 1)))
+    first = trades.filter(F.col("updated_ts") < at(datetime(2000, 1, 1)))
     jobs.load_bronze(store, first, mode="incremental", rules=null_rules(REQUIRED))
     jobs.load_bronze(store, trades, mode="incremental", rules=null_rules(REQUIRED))
     return store.read(jobs.BRONZE).select(*TRADE.names)
@@ -316,6 +313,18 @@ def serving_lookup(spark, folder):
     return store.read(jobs.SERVING_POSITION).filter(F.col("investor_id") == 7).drop("calculated_at")
 
 
+@query("serving_layout", sql(SILVER, """
+    select strftime(trade_ts, '%Y-%m') as trade_month, count(*) as rows,
+           min(trade_date) as first_date, max(trade_date) as last_date,
+           count(distinct investor_id) as investors from e group by 1"""))
+def serving_layout(spark, folder):
+    """What each month folder of the serving detail copy holds."""
+    store = published(spark, folder)
+    return store.read(jobs.SERVING_TRADE).groupBy("trade_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("trade_date").alias("first_date"),
+        F.max("trade_date").alias("last_date"), F.count_distinct("investor_id").alias("investors"))
+
+
 @query("federated_report", sql(SILVER, """
     select investor_type, count(*) as trade_count, cast(sum(amount) as decimal(24,4)) as volume
     from (select e.* exclude (investor_type, country) from e) x

@@ -28,8 +28,9 @@ def gold_broker_daily(spark, folder):
 @query("eod_balance", sql(TRADES, """
     select investor_id, security_id, (select max(trade_date) from t) as value_date,
            cast(sum(case when side = 'BUY' then qty else -qty end) as decimal(24,4)) as nominal_qty,
-           cast(round(cast(sum(case when side = 'BUY' then qty else -qty end) as double)
-                * (cast(sum(price) as double) / count(price)), 4) as decimal(20,4)) as market_value
+           cast(cast(cast(sum(case when side = 'BUY' then qty else -qty end) as double)
+                     * (cast(sum(price) as double) / count(price)) as decimal(23,7))
+                as decimal(20,4)) as market_value
     from t group by investor_id, security_id
     having sum(case when side = 'BUY' then qty else -qty end) <> 0"""))
 def eod_balance(spark, folder):

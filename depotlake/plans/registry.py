@@ -96,7 +96,8 @@ _BLOCKS = {
            cast(sum(case when side = 'BUY' then amount else 0 end) as decimal(24,4)) as buy_volume,
            cast(sum(case when side = 'SELL' then amount else 0 end) as decimal(24,4)) as sell_volume,
            count(distinct investor_id) as unique_investors,
-           round(cast(sum(price * qty) as double) / cast(sum(qty) as double), 6) as vwap,
+           cast(cast(cast(sum(price * qty) as double) / cast(sum(qty) as double)
+                     as decimal(27,9)) as decimal(24,6)) as vwap,
            min(price) as min_price, max(price) as max_price
     from e group by all""",
     "pos": """

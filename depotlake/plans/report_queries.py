@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from depotlake.functions.expressions import at
 from depotlake.model import SIDES
 from depotlake.operators import calendars, marts, reports
 from depotlake.operators.dedup import latest_per_key
@@ -73,7 +74,7 @@ def quarter_top10_from_gold(spark, folder):
 @query("monthly_channel_trend", sql(TRADES, """
     select cast(date_trunc('month', trade_date) as date) as month, channel,
            count(*) as trade_count,
-           round(cast(sum(amount) as double) / 1e6, 2) as volume_millions
+           cast(cast(cast(sum(amount) as double) / 1e6 as decimal(27,5)) as decimal(24,2)) as volume_millions
     from t group by 1, 2"""))
 def monthly_channel_trend(spark, folder):
     return reports.monthly_channel_trend(tables.trades(spark, folder))
@@ -81,7 +82,7 @@ def monthly_channel_trend(spark, folder):
 
 @query("channel_summary", sql(TRADES, """
     select channel, count(*) as trade_count,
-           round(cast(sum(amount) as double) / 1e9, 2) as volume_billions,
+           cast(cast(cast(sum(amount) as double) / 1e9 as decimal(27,5)) as decimal(24,2)) as volume_billions,
            count(distinct investor_id) as unique_investors
     from t group by channel"""))
 def channel_summary(spark, folder):
@@ -90,7 +91,7 @@ def channel_summary(spark, folder):
 
 @query("table_totals", sql(TRADES, """
     select count(*) as trade_count, cast(sum(amount) as decimal(24,4)) as volume,
-           round(cast(sum(amount) as double) / count(amount), 4) as mean_amount from t"""))
+           cast(cast(cast(sum(amount) as double) / count(amount) as decimal(27,7)) as decimal(24,4)) as mean_amount from t"""))
 def table_totals(spark, folder):
     return reports.totals(tables.trades(spark, folder))
 
@@ -105,7 +106,7 @@ def closed_account_volume(spark, folder):
 
 @query("speedup_ratio", sql(TRADES, """
     select channel, trade_count,
-           round(max(trade_count) over () / greatest(trade_count, 1), 4) as factor
+           cast(cast(max(trade_count) over () / greatest(trade_count, 1) as decimal(27,7)) as decimal(24,4)) as factor
     from (select channel, count(*) as trade_count from t group by channel)"""))
 def speedup_ratio(spark, folder):
     counts = tables.trades(spark, folder).groupBy("channel").agg(
@@ -120,7 +121,7 @@ def point_lookup(spark, folder):
 
 @query("month_total", sql(TRADES, """
     select count(*) as trade_count, cast(sum(amount) as decimal(24,4)) as volume,
-           round(cast(sum(amount) as double) / count(amount), 4) as mean_amount
+           cast(cast(cast(sum(amount) as double) / count(amount) as decimal(27,7)) as decimal(24,4)) as mean_amount
     from t where trade_ts >= timestamp '1997-03-01' and trade_ts < timestamp '1997-04-01'"""))
 def month_total(spark, folder):
     return reports.totals(reports.trades_between(
@@ -144,7 +145,7 @@ def filter_predicates(spark, folder):
     rows = join_dimension(latest_per_key(tables.faulty_trades(spark, folder)),
                           tables.investors(spark, folder), "investor_id", how="inner")
     stamp = F.col("trade_ts")
-    month = (stamp >= F.lit(datetime(1997, 3, 1))) & (stamp < F.lit(datetime(1997, 4, 1)))
+    month = (stamp >= at(datetime(1997, 3, 1))) & (stamp < at(datetime(1997, 4, 1)))
     tests = {
         "greater": F.col("amount") > 50000,
         "in_quarter": reports.date_between(*QUARTER),
@@ -271,7 +272,7 @@ def scalar_datetime(spark, folder):
         F.date_add(F.to_date(stamp), 7).alias("next_week"),
         (stamp + F.make_dt_interval(mins=F.lit(90))).alias("later"),
         F.convert_timezone(F.lit("Europe/Istanbul"), F.lit("UTC"), stamp).alias("istanbul_to_utc"),
-        (stamp >= F.lit(datetime(2024, 1, 15))).alias("second_half"),
+        (stamp >= at(datetime(2024, 1, 15))).alias("second_half"),
     )
 
 

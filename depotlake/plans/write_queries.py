@@ -7,13 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import month_of, total
+from depotlake.functions.expressions import at, month_of, total
 from depotlake.model import LATEST_FIRST, TRADE
 from depotlake.operators import evolution, marts, quality, upkeep
 from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.reports import midnight, totals
 from depotlake.operators.upsert import (merge, resent_batch, sample_batch, update_all,
                                         update_where, upsert_into)
+from depotlake.operators.versions import version_diff
 from depotlake.plans.jobs import DAILY_MONTHLY, MONTHLY
 from depotlake.plans.lake_queries import silver_trades
 from depotlake.plans.registry import LATEST, SILVER, TRADES, query, sql
@@ -57,8 +58,8 @@ def _plain(df: DataFrame) -> DataFrame:
 def append_batch(spark, folder):
     path = workspace(spark, "append")
     rows = tables.trades(spark, folder).withColumn("trade_month", month_of("trade_ts"))
-    writers.append(rows.filter(F.col("trade_ts") < F.lit(CUTOVER)), path, ["trade_month"])
-    writers.append(rows.filter(F.col("trade_ts") >= F.lit(CUTOVER)), path, ["trade_month"])
+    writers.append(rows.filter(F.col("trade_ts") < at(CUTOVER)), path, ["trade_month"])
+    writers.append(rows.filter(F.col("trade_ts") >= at(CUTOVER)), path, ["trade_month"])
     return _plain(spark.read.parquet(path))
 
 
@@ -70,7 +71,7 @@ def partition_overwrite(spark, folder):
     path = workspace(spark, "overwrite")
     rows = tables.trades(spark, folder).withColumn("trade_month", month_of("trade_ts"))
     writers.full_refresh(rows, path, ["trade_month"], ["trade_ts"])
-    increment = update_all(rows.filter(F.col("trade_ts") >= F.lit(CUTOVER)),
+    increment = update_all(rows.filter(F.col("trade_ts") >= at(CUTOVER)),
                            {"amount": F.col("amount") * 2})
     writers.overwrite_partitions(increment, path, ["trade_month"], ["trade_ts"])
     return _plain(spark.read.parquet(path))
@@ -83,7 +84,7 @@ def full_refresh_idempotent(spark, folder):
     path = workspace(spark, "refresh")
     rows = tables.trades(spark, folder).withColumn("trade_month", month_of("trade_ts"))
     writers.full_refresh(rows, path, ["trade_month"])
-    shrunk = rows.filter(F.col("trade_ts") < F.lit(CUTOVER))
+    shrunk = rows.filter(F.col("trade_ts") < at(CUTOVER))
     for _ in range(2):
         writers.full_refresh(shrunk, path, ["trade_month"])
     return _plain(spark.read.parquet(path))
@@ -99,7 +100,7 @@ def quarter_store(spark: SparkSession, folder: str, purpose: str) -> Store:
     """A new table from a selection of silver: one quarter, twelve columns."""
     stamp = F.col("trade_ts")
     rows = silver_trades(spark, folder).filter(
-        (stamp >= F.lit(midnight(QUARTER[0]))) & (stamp < F.lit(datetime(1997, 4, 1))))
+        (stamp >= at(midnight(QUARTER[0]))) & (stamp < at(datetime(1997, 4, 1))))
     store = new_store(spark, purpose)
     store.write("quarter", rows.select(*_QUARTER_COLUMNS), MAIN, "create", MONTHLY, ("trade_ts",))
     return store
@@ -141,8 +142,8 @@ def _history_and_feed(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
     doubled quantities, so that it shows which side of the overlap won."""
     trades = tables.trades(spark, folder)
     stamp = F.col("updated_ts")
-    history = latest_per_key(trades.filter(stamp < F.lit(HISTORY_END)))
-    feed = update_all(trades.filter(stamp >= F.lit(FEED_START)), {"qty": F.col("qty") * 2})
+    history = latest_per_key(trades.filter(stamp < at(HISTORY_END)))
+    feed = update_all(trades.filter(stamp >= at(FEED_START)), {"qty": F.col("qty") * 2})
     return history, feed
 
 
@@ -161,6 +162,26 @@ def upsert_stored(spark, folder):
     return _plain(store.read("trade"))
 
 
+@query("version_diff", sql(TRADES, f"""select * from (
+    with tgt as (select * exclude (rn) from (select *, row_number() over (partition by trade_id
+                     order by updated_ts desc, security_id desc, broker_id desc) as rn
+                     from t where updated_ts < timestamp '2000-01-01') where rn = 1),
+         res as ({_MERGE_SQL})
+    select count(*) filter (tgt.trade_id is null) as added,
+           count(*) filter (res.trade_id is null) as removed,
+           count(*) filter (tgt.trade_id is not null and res.trade_id is not null
+                            and (tgt.qty <> res.qty or tgt.updated_ts <> res.updated_ts
+                                 or tgt.amount <> res.amount)) as changed
+    from tgt full join res on tgt.trade_id = res.trade_id)"""))
+def changed_by_upsert(spark, folder):
+    """What the upsert added and changed; parts both versions share are not read."""
+    history, feed = _history_and_feed(spark, folder)
+    store = new_store(spark, "diff")
+    store.write("trade", history, MAIN, "load", MONTHLY, ("trade_ts",))
+    upsert_into(store, "trade", feed, MAIN, sort_by=("trade_ts",))
+    return version_diff(store, "trade", 1, 2)
+
+
 @query("stream_upsert", sql(LATEST, "select * from d"))
 def streamed(spark, folder):
     """All trade messages as change files in four micro-batches: the table ends
@@ -310,7 +331,7 @@ def evolved_store(spark: SparkSession, folder: str, purpose: str, layout=None) -
     if layout:
         evolution.change_layout(store, "quarter", MAIN, layout)
     stamp = F.col("trade_ts")
-    late = old.filter((stamp >= F.lit(_MARCH[0])) & (stamp < F.lit(_MARCH[1]))).withColumns({
+    late = old.filter((stamp >= at(_MARCH[0])) & (stamp < at(_MARCH[1]))).withColumns({
         "trade_id": F.col("trade_id") + 800_000_000, "venue": F.lit("EXCHANGE"),
         "order_ref": F.lit("ORDER-NEW"), "rule_code": F.lit("RULE-01")})
     store.append("quarter", late, MAIN, ("trade_ts",))
@@ -394,7 +415,7 @@ def compact_preserves_rows(spark, folder):
 
 @query("table_totals_as_of", sql(LATEST, """
     select count(*) as trade_count, cast(sum(amount) as decimal(24,4)) as volume,
-           round(cast(sum(amount) as double) / count(amount), 4) as mean_amount from d"""))
+           cast(cast(cast(sum(amount) as double) / count(amount) as decimal(27,7)) as decimal(24,4)) as mean_amount from d"""))
 def table_totals_as_of(spark, folder):
     """The table as main showed it before the accident, by time."""
     store = trade_store(spark, folder, "as-of-time")

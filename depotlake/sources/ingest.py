@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from depotlake.functions.expressions import at
+
 
 class EmptySourceError(RuntimeError):
     """The source table has no rows to take bounds from."""
@@ -33,7 +35,7 @@ def key_bounds(source: DataFrame, key: str, date_column: str) -> DataFrame:
 
 def changed_since(source: DataFrame, since: datetime) -> DataFrame:
     """Rows changed at or after ``since``; the filter reaches the source."""
-    return source.filter(F.col("updated_ts") >= F.lit(since))
+    return source.filter(F.col("updated_ts") >= at(since))
 
 
 def high_water_mark(target: DataFrame) -> datetime | None:

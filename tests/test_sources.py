@@ -110,7 +110,7 @@ def test_marts_by_hand(silver_rows):
          "signed_qty": Decimal(1), "net_amount": Decimal("7.9")})
     day = marts.daily_security(rows).first()
     assert (day.trade_count, day.volume, day.buy_volume, day.sell_volume) == (3, 28, 18, 10)
-    assert (day.unique_investors, day.vwap, day.min_price, day.max_price) == (2, 5.6, 5, 8)
+    assert (day.unique_investors, day.vwap, day.min_price, day.max_price) == (2, Decimal("5.6"), 5, 8)
     held = {r.investor_id: (r.net_qty, r.net_cash) for r in marts.positions(rows).collect()}
     assert held == {10: (3, Decimal("-17.8")), 11: (-2, Decimal("9.9"))}
     broker = marts.broker_daily(rows).first()
@@ -136,7 +136,7 @@ def test_readable_numbers(spark, n, size, count):
 def test_speedup_of_a_free_layer(spark):
     costs = spark.createDataFrame([("a", 100), ("b", 4), ("c", 0)], "layer string, ms bigint")
     found = {r.layer: r.factor for r in reports.speedup(costs, "layer", "ms").collect()}
-    assert found == {"a": 1.0, "b": 25.0, "c": 100.0}
+    assert found == {"a": 1, "b": 25, "c": 100}
     label = costs.withColumn("layer", F.lit("gold")).select(reports.layer_label("layer").alias("l"))
     assert label.first().l == "4. mart"
 
