@@ -203,7 +203,8 @@ def required(column: str, kind: str) -> Column:
 
 def refresh_serving(store: Store, publish: bool = True) -> str:
     """Copies ordered by access path: by date, by investor, and detail rows with
-    Bloom filters for the columns they are not ordered by."""
+    Bloom filters for the columns they are not ordered by. Each file covers a
+    range of its own, so a lookup opens the files of its range only."""
     def write(ref: str) -> None:
         daily = store.read(DAILY, ref).select(*store.columns(DAILY, ref))
         # Only the average price may be NULL: a group without quantity has none.
@@ -216,10 +217,10 @@ def refresh_serving(store: Store, publish: bool = True) -> str:
              "layout": DAILY_MONTHLY,
              "sort_by": ("trade_date", "security_type", "security_id", "channel")},
             {"table": SERVING_POSITION, "df": position, "operation": "refresh", "layout": {},
-             "sort_by": ("investor_id", "security_type", "security_id"),
+             "by_range": True, "sort_by": ("investor_id", "security_type", "security_id"),
              "bloom_on": ("investor_id",)},
             {"table": SERVING_TRADE, "df": detail.select(*SILVER.names), "operation": "refresh",
-             "layout": MONTHLY,
+             "layout": MONTHLY, "by_range": True,
              "sort_by": ("trade_date", "security_type", "security_id", "trade_id"),
              "bloom_on": ("investor_id", "broker_id")},
         ])

@@ -12,16 +12,23 @@ BLOOM_FALSE_POSITIVES = 0.01
 
 def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                     sort_by: Sequence[str] = (), bloom_on: Sequence[str] = (),
-                    mode: str = "errorifexists", options: dict[str, str] | None = None) -> None:
+                    mode: str = "errorifexists", options: dict[str, str] | None = None,
+                    by_range: bool = False) -> None:
     """Write ``df`` in files of about the advisory size, sorted inside.
 
     The rebalance hint brings the rows of a directory together without one task
     per directory: adaptive execution splits a directory that is too large for a
     task and merges those that are small. Sorting narrows the min/max statistics
     of the row groups, Bloom filters serve lookups on unsorted columns.
+
+    ``by_range`` gives each file a range of its own, so that a lookup skips whole
+    files. It samples the input first: for copies of stored tables, not for
+    frames that are expensive to compute twice.
     """
-    columns = [F.col(c) for c in partition_by]
-    out = df.hint("rebalance", *columns)
+    if by_range:
+        out = df.repartitionByRange(*partition_by, *sort_by)
+    else:
+        out = df.hint("rebalance", *(F.col(c) for c in partition_by))
     if partition_by or sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     writer = out.write.mode(mode).option("compression", "zstd").options(**(options or {}))

@@ -147,3 +147,23 @@ def test_a_hot_group_is_counted_by_many_tasks(silver_rows):
     for mart in (marts.daily_security, marts.broker_daily):
         first_shuffle = plan_of(mart(silver_rows({}))).split("Exchange hashpartitioning(")[-1]
         assert "investor_id" in first_shuffle.split(")")[0]
+
+
+def test_files_written_by_range_do_not_overlap(spark):
+    """Also when one investor owns a third of the rows: further sort columns split it."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(0, 9000, 1, 4).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * 37 % 1000).alias("investor_id"),
+            F.col("id").alias("security_id"))
+        path = workspace(spark, "ranges")
+        writers.write_clustered(rows, path, (), ("investor_id", "security_id"), by_range=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    key = F.struct("investor_id", "security_id")
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"))
+    found = sorted((tuple(r.lo), tuple(r.hi), r.n) for r in files.collect())
+    assert len(found) == 4 and sum(n for _, _, n in found) == 9000
+    assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    assert max(n for _, _, n in found) < 4500
