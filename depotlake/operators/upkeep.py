@@ -13,18 +13,13 @@ from pyspark.sql import functions as F
 from depotlake.functions.expressions import human_size, mebibytes
 from depotlake.session import MIB
 from depotlake.sources.shared_files import file_inventory, parquet_files
-from depotlake.sources.store import MAIN, Store
+from depotlake.sources.store import MAIN, Store, part_of
 
 
 class UpkeepError(RuntimeError):
     """Upkeep of at least one table failed."""
 
 
-def _part() -> Column:
-    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(path, r"/(v=\d+-[0-9a-f]{8}(?:/[^/]+=[^/]+)*)/[^/]+$", 1)
-
-
 def _partition() -> Column:
     """The partition of a part: its path without the version."""
     return F.regexp_replace(F.col("part"), r"^v=[^/]+/?", "")
@@ -35,7 +30,7 @@ def live_files(store: Store, table: str, ref: str = MAIN) -> DataFrame:
     manifest = store.manifest(table, store.state(ref)[table])
     base = store.data_folder(table)
     listed = parquet_files(store.spark, [f"{base}/{p['dir']}" for p in manifest["parts"]])
-    return (listed.withColumn("part", _part()).withColumn("partition", _partition())
+    return (listed.withColumn("part", part_of("path")).withColumn("partition", _partition())
             .select("path", "part", "partition", "length"))
 
 
@@ -125,7 +120,7 @@ def orphan_files(store: Store, table: str, now: datetime, older_than_days: int =
     A report only: nothing is deleted."""
     spark = store.spark
     cutoff = F.lit((now - timedelta(days=older_than_days)).isoformat()).cast("timestamp")
-    present = parquet_files(spark, [store.data_folder(table)]).withColumn("part", _part())
+    present = parquet_files(spark, [store.data_folder(table)]).withColumn("part", part_of("path"))
     live = spark.createDataFrame([(p,) for p in store.live_parts(table)], "part string")
     return (present.filter(F.col("modificationTime") < cutoff).join(live, "part", "left_anti")
             .select(F.lit(table).alias("table"), "path", "length", "modificationTime"))

@@ -139,7 +139,8 @@ def build_silver(store: Store, investors: DataFrame, securities: DataFrame,
     def write(ref: str) -> None:
         bronze = store.read(BRONZE, ref).select(*TRADE.names)
         resolved = silver.resolve(bronze, investors, securities)
-        months = len(store.manifest(BRONZE, store.state(ref)[BRONZE])["parts"])
+        parts = store.manifest(BRONZE, store.state(ref)[BRONZE])["parts"]
+        months = len({p["dir"].partition("/")[2] for p in parts})
         layout = resolved_layout(stored_bytes(store, BRONZE, ref), months)
         store.write(RESOLVED, resolved, ref, "full refresh", layout,
                     ("security_type", "trade_ts", "security_id"))
