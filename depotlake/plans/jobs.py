@@ -42,8 +42,8 @@ def write_audit_publish(store: Store, name: str, write: Callable[[str], None], a
                         publish: bool = True) -> str:
     """Write on a new ref, audit there, publish when the audit passes.
 
-    When it raises, or with ``publish=False``, the ref stays for inspection and
-    the readers of main see nothing of it.
+    A published ref is dropped. When the audit raises, or with ``publish=False``, it
+    stays for inspection and the readers of main see nothing of it.
     """
     ref = f"{name}_{stamp()}"
     store.create_ref(ref)
@@ -51,6 +51,7 @@ def write_audit_publish(store: Store, name: str, write: Callable[[str], None], a
     audit(ref)
     if publish:
         store.publish(ref)
+        store.drop_ref(ref)
     return ref
 
 

@@ -58,6 +58,9 @@ def test_a_dirty_batch_stays_on_its_stage(lake, trade_rows):
     stage = [r for r in lake.refs() if r.startswith("etl_bronze") and
              lake.read(jobs.BRONZE, r).filter("amount < 0").count()]
     assert len(stage) == 1
+    assert lake.refs() == sorted([*stage, MAIN])
+    with pytest.raises(ValueError):
+        lake.drop_ref(MAIN)
 
 
 def test_keeping_the_stage_for_inspection(store, feed):
