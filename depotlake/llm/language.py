@@ -55,6 +55,11 @@ def _log_table(rows, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     return {row["term"]: k for k, row in enumerate(rows)}, np.log((counts + SMOOTHING) / totals)
 
 
+def _grams(word: Column, size: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(word) - (size - 1))),
+                       lambda at: F.substring(word, at, F.lit(size)))
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_keys: list[str] | None = None,
           max_docs: int = MAX_DOCS) -> LanguageModel:
     """The model of the labelled ``docs``; counting is one aggregate, its most frequent terms are collected."""
@@ -69,11 +74,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_keys:
         return LanguageModel([], np.zeros(0), {}, {}, np.zeros((0, 0)))
     share = {row["lang"]: row["n"] for row in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     padded = F.concat(F.lit(" "), F.substring("term", 1, 64), F.lit(" "))
-    cut = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - (size - 1))),
-                    lambda at, size=size: F.substring(padded, at, F.lit(size)))
-        for size in range(1, LONGEST + 1)]))
-    grams = counted.select("lang", "n", F.explode(F.array_distinct(cut)).alias("term"))
+    cut = F.flatten(F.array(*[_grams(padded, size) for size in range(1, LONGEST + 1)]))
+    grams = counted.select("lang", "n", F.explode(cut).alias("term")).where("term <> ' '")
 
     def frequent(terms: DataFrame, limit: int):
         by_lang = terms.groupBy("term", "lang").agg(F.sum("n").alias("n")).groupBy("term").agg(
@@ -105,7 +107,7 @@ class Predictor:
             found = ()
             for size in range(LONGEST, 0, -1):
                 rows = [grams[gram] for k in range(max(1, len(padded) - size + 1))
-                        if (gram := padded[k:k + size]) in grams and gram != " "]
+                        if (gram := padded[k:k + size]) in grams]
                 if rows:
                     found = tuple(self.model.scores[rows].mean(axis=0).tolist())
                     break

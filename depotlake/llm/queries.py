@@ -8,13 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, decontaminate, language, secrets, simhash
+from depotlake.llm import bpe, decontaminate, language, licenses, quality, secrets, simhash, topk, toxicity
 from depotlake.llm.common import held_out, learnable, table
-from depotlake.llm.sql import SECRETS_SQL
+from depotlake.llm.labelled import labelled_sample
+from depotlake.llm.sql import LICENSES_SQL, SECRETS_SQL, TOPK_SQL
 
 TOKENIZER = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality",
+                                          learnable("doc_id", 3, 1), quality.MAX_DOCS))
+    return docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"),
+                       quality.scored(F.col("text"), model, spark).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds with few edits."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -33,6 +43,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic",
+                                           learnable("doc_id", 4, 2), toxicity.MAX_DOCS))
+    return docs.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"),
+                       toxicity.scored(F.col("text"), model, spark).alias("found")).select(
+        "doc_id", "held_out", F.col("found")["score"].alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = TOKENIZER) -> DataFrame:
     ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text"), vocabulary).alias("ids"))
     return ids.select(
@@ -41,6 +65,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = TOKENIZER) -> Da
         F.sha2(bpe.decoded(F.col("ids"), vocabulary), 256).alias("decoded_sha256"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = secrets.with_spans(docs, "found").select("doc_id", "found")
@@ -56,11 +84,19 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_language": op3_language,
     "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
     "op7_bpe": op7_bpe,
+    "op8_topk": op8_topk,
     "op9_secrets": op9_secrets,
 }
 
-ORACLES: dict[str, str] = {"op9_secrets": SECRETS_SQL}
+ORACLES: dict[str, str] = {
+    "op6_licenses": LICENSES_SQL,
+    "op8_topk": TOPK_SQL,
+    "op9_secrets": SECRETS_SQL,
+}

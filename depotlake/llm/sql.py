@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from depotlake.llm.licenses import LEAST, NOTICES, SHINGLE
 from depotlake.llm.secrets import BASE_RULES, RULES, Rule
 
 
@@ -50,3 +51,42 @@ from d left join texts using (rn)"""
 
 
 SECRETS_SQL = _secrets()
+
+
+def _licenses() -> str:
+    """The share of each template's shingles in the windows of a text, without MinHash."""
+    notices = ", ".join(f"('{name}', '{text}')" for name, text in sorted(NOTICES.items()))
+    words = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    return f"""
+with t as (select license, {words} as words from (values {notices}) as n(license, text)),
+sized as (select license, words, least({SHINGLE}, len(words)) as s, len(words) - least({SHINGLE}, len(words)) + 1 as m from t),
+cut as (select distinct license, s, m, array_to_string(words[i + 1:i + s], ' ') as shingle
+        from (select *, unnest(range(0, m)) as i from sized)),
+counted as (select *, count(*) over (partition by license) as size from cut),
+d as (select distinct doc_id, text, {words} as words from documents),
+sizes as (select distinct s from sized),
+held as (select doc_id, text, s, i, array_to_string(words[i + 1:i + s], ' ') as shingle
+         from (select doc_id, text, words, s, unnest(range(0, greatest(0, len(words) - s + 1))) as i from d, sizes)),
+met as (select doc_id, text, license, m, size, i, held.shingle
+        from held join counted on held.s = counted.s and held.shingle = counted.shingle),
+windows as (select *, i - i % m as w from met
+            union all select *, i - i % m - m as w from met where i >= m),
+shares as (select doc_id, text, license, w, count(distinct shingle)::double / any_value(size) as share, min(i) as word_at
+           from windows group by doc_id, text, license, w),
+ranked as (select *, row_number() over (partition by doc_id, text, license order by share desc, word_at) as r
+           from shares where share >= {LEAST})
+select doc_id, license, share, word_at::bigint as word_at from ranked where r = 1"""
+
+
+LICENSES_SQL = _licenses()
+
+TOPK_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+           from embeddings where vec_id is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select q.vec_id as query_id, c.vec_id,
+                  list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+           from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+where rank <= 20"""
