@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, decontaminate, language, licenses, quality, secrets, simhash, topk, toxicity
+from depotlake.llm import bpe, decontaminate, language, licenses, quality, secrets, simhash, substrings, topk, toxicity
 from depotlake.llm.common import held_out, learnable, table
 from depotlake.llm.labelled import labelled_sample
 from depotlake.llm.sql import LICENSES_SQL, SECRETS_SQL, TOPK_SQL
@@ -83,6 +83,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("found")).alias("spans"))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_secrets": op9_secrets,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLES: dict[str, str] = {
