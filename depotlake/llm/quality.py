@@ -34,6 +34,7 @@ WINDOW = 2
 HIDDEN = 32
 EPOCHS = 60
 SHARES = 6
+FARTHEST = 5.0
 POOLED_TOKENS = 1 << 16
 
 _tokens = re.compile(r"\w+|[^\w\s]+").findall
@@ -110,7 +111,7 @@ class QualityModel:
     def score(self, features: np.ndarray) -> np.ndarray:
         if not self.layers:
             return np.full(len(features), 0.5)
-        logits = _forward(self.layers, (features - self.center) / self.spread)[1]
+        logits = _forward(self.layers, _standard(features, self.center, self.spread))[1]
         return 1 / (1 + np.exp(-np.clip(logits / self.temperature, -40, 40)))
 
 
@@ -152,6 +153,11 @@ class Pooler:
         return out
 
 
+def _standard(features: np.ndarray, center: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Features in spreads from their mean; beyond ``FARTHEST`` all count alike, as nothing was learnt there."""
+    return np.clip((features - center) / spread, -FARTHEST, FARTHEST)
+
+
 def _forward(layers: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inner = np.tanh(x @ layers[0] + layers[1])
     return inner, inner @ layers[2] + layers[3]
@@ -210,9 +216,10 @@ def learn(sample: DataFrame) -> QualityModel:
     if not fitted.any() or fitted.all():
         fitted = np.ones(len(y), bool)
     center, spread = x[fitted].mean(axis=0), x[fitted].std(axis=0) + 1e-6
-    layers = train_network((x[fitted] - center) / spread, y[fitted])
+    x = _standard(x, center, spread)
+    layers = train_network(x[fitted], y[fitted])
     rest = ~fitted if (~fitted).any() else fitted
-    logits = _forward(layers, (x[rest] - center) / spread)[1]
+    logits = _forward(layers, x[rest])[1]
     return QualityModel(words, vectors, center, spread, layers, fit_temperature(logits, y[rest]))
 
 
