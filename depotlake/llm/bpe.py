@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 LONG_WORD = 256
 CACHED_WORDS = 250_000
-NO_RANK = 1 << 60
+NO_RANK = (1 << 31) - 1
+BLOCK_CHARS = 1 << 20
 
 # Fixed: the pre-tokenizer's pattern of byte-level BPE vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -57,22 +58,67 @@ class Vocabulary:
             self.ranks[ids[left] << 32 | ids[right]] = rank
             self.merged.append(ids[left + right])
 
+        pairs = np.array(list(self.ranks), np.int64)
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.pair_ranks = np.arange(len(pairs), dtype=np.int32)[order]
+        self.merged_ids = np.array(self.merged, np.int32)
+        self.byte_ids = np.array(self.of_byte, np.int32)
+
     def merge(self, word: bytes) -> list[int]:
-        parts = [self.of_byte[byte] for byte in word]
-        return self._merge_long(parts) if len(parts) > LONG_WORD else self._merge_short(parts)
-
-    def _merge_short(self, parts: list[int]) -> list[int]:
-        rank_of, merged = self.ranks.get, self.merged
-        ranks = [rank_of(a << 32 | b, NO_RANK) for a, b in zip(parts, parts[1:])]
-        while ranks and (least := min(ranks)) < NO_RANK:
-            at = ranks.index(least)
-            parts[at] = merged[least]
-            del parts[at + 1], ranks[at]
-            if at < len(ranks):
-                ranks[at] = rank_of(parts[at] << 32 | parts[at + 1], NO_RANK)
-            if at:
-                ranks[at - 1] = rank_of(parts[at - 1] << 32 | parts[at], NO_RANK)
-        return parts
+        if len(word) > LONG_WORD:
+            return self._merge_long([self.of_byte[byte] for byte in word])
+        return np.frombuffer(self.merge_all([word])[0], np.int32).tolist()
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The merge rank of neighbours; ``NO_RANK`` for what does not merge."""
+        if not len(self.pairs):
+            return np.full(left.shape, NO_RANK, np.int32)
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], NO_RANK).astype(np.int32)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids as little-endian int32 of short words, all words of one length at a time.
+
+        Each row of ``parts`` is a word and each row of ``ranks`` its rank array. A step scans every row for its
+        least rank, deletes that boundary and looks up the ranks on both sides; rows without any rank are done.
+        As each step takes one boundary from each row left, all of them keep the same number of parts.
+        """
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for k, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(k)
+        for length, places in by_length.items():
+            if not length:
+                continue
+            letters = np.frombuffer(b"".join(words[k] for k in places), np.uint8).reshape(-1, length)
+            parts, rows = self.byte_ids[letters], np.array(places)
+            ranks = self._rank(parts[:, :-1], parts[:, 1:])
+            while True:
+                at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), np.int64)
+                every = np.arange(len(rows))
+                least = ranks[every, at] if ranks.shape[1] else np.full(len(rows), NO_RANK, np.int32)
+                done = least == NO_RANK
+                if done.any():
+                    for row, ids in zip(rows[done].tolist(), parts[done]):
+                        out[row] = ids.tobytes()
+                    going = ~done
+                    parts, ranks, rows, at, least = parts[going], ranks[going], rows[going], at[going], least[going]
+                    if not len(rows):
+                        break
+                    every = np.arange(len(rows))
+                columns = np.arange(parts.shape[1] - 1)
+                parts[every, at] = self.merged_ids[least]
+                parts = np.take_along_axis(parts, columns + (columns > at[:, None]), axis=1)
+                columns = columns[:-1]
+                ranks = np.take_along_axis(ranks, columns + (columns >= at[:, None]), axis=1)
+                right, left = at < ranks.shape[1], at > 0
+                r, c = every[right], at[right]
+                ranks[r, c] = self._rank(parts[r, c], parts[r, c + 1])
+                r, c = every[left], at[left]
+                ranks[r, c - 1] = self._rank(parts[r, c - 1], parts[r, c])
+        return out
 
     def _merge_long(self, parts: list[int]) -> list[int]:
         rank_of, count = self.ranks.get, len(parts)
@@ -97,42 +143,68 @@ class Vocabulary:
         return [part for part in parts if part >= 0]
 
 
-class Encoder(dict):
-    """Words to ids as little-endian int32.
+class Encoder:
+    """Texts to ids as little-endian int32.
 
     The words of late are kept in two generations of fixed size; a word still in use moves to the young one.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.old: dict[str, bytes] = {}
         self.vocabulary = vocabulary
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.words = regex.compile(WORDS).findall
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = np.array(self.vocabulary.merge(word.encode("utf-8", "replace")), np.int32).tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.old = self.copy()
-            self.clear()
-        if len(word) <= LONG_WORD:
-            self[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
+    def _pieces(self, text: str) -> list[str]:
+        """Words and special tokens; both are looked up alike, as no word contains a special token."""
         special = self.vocabulary.special
         if self.cut is None or not any(token in text for token in special):
-            return b"".join(map(self.__getitem__, self.words(text)))
-        out = []
+            return self.words(text)
+        out: list[str] = []
         for part in self.cut(text):
-            if part in special:
-                out.append(np.int32(special[part]).tobytes())
+            out.extend([part] if part in special else self.words(part))
+        return out
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; those of long words are returned only, as they are not kept."""
+        vocabulary, found, new, long = self.vocabulary, {}, [], {}
+        for word in words:
+            known = self.old.get(word)
+            if known is not None:
+                found[word] = known
+            elif word in vocabulary.special:
+                found[word] = np.int32(vocabulary.special[word]).tobytes()
             else:
-                out.extend(map(self.__getitem__, self.words(part)))
-        return b"".join(out)
+                new.append(word)
+        raw = [word.encode("utf-8", "replace") for word in new]
+        for word, letters in zip(new, raw):
+            if len(letters) > LONG_WORD:
+                long[word] = np.array(vocabulary.merge(letters), np.int32).tobytes()
+        short = [(word, letters) for word, letters in zip(new, raw) if len(letters) <= LONG_WORD]
+        found.update(zip([word for word, _ in short], vocabulary.merge_all([letters for _, letters in short])))
+        self.young.update(found)
+        return long
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.young) >= CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        pieces = [self._pieces(text) if text else [] for text in texts]
+        long, young = self._learn(set().union(*pieces).difference(self.young)), self.young
+        return [b"".join([young[word] if word in young else long[word] for word in words] if long
+                         else map(young.__getitem__, words)) for words in pieces]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; new words of about ``BLOCK_CHARS`` letters of texts are merged together."""
+        out: list[bytes] = []
+        start = size = 0
+        for k, text in enumerate(texts):
+            size += len(text) if text else 0
+            if size >= BLOCK_CHARS:
+                out.extend(self._encode(texts[start:k + 1]))
+                start, size = k + 1, 0
+        return out + self._encode(texts[start:])
 
 
 _loaded: dict[str, Encoder] = {}
@@ -151,13 +223,14 @@ def encoded(text: Column, path: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         encoder = _encoder(path)
-        parts = [encoder.encode(text) if text else b"" for text in texts.to_pylist()]
+        parts = encoder.encode_all(texts.to_pylist())
         offsets = np.zeros(len(parts) + 1, np.int64)
         np.cumsum([len(part) // 4 for part in parts], out=offsets[1:])
         ids = np.frombuffer(b"".join(parts), np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
 
-    return encode(text)
+    # Marked so that the optimizer never runs it again inside an expression over its result, such as decoding.
+    return encode.asNondeterministic()(text)
 
 
 def decoded(ids: Column, path: str) -> Column:

@@ -51,9 +51,17 @@ def test_bpe_agrees_with_the_library_and_returns_the_text(spark):
 def test_long_words_take_the_same_merges():
     vocabulary = bpe.Vocabulary(TOKENIZER)
     rng = random.Random(5)
-    for size in (2, 9, 60, 400):
-        parts = [vocabulary.of_byte[b] for b in bytes(rng.choice(b"theandingre ") for _ in range(size))]
-        assert vocabulary._merge_long(list(parts)) == vocabulary._merge_short(list(parts))
+    words = [bytes(rng.choice(b"theandingre ") for _ in range(size)) for size in (1, 2, 9, 9, 60, 250) for _ in range(20)]
+    for word, ids in zip(words, vocabulary.merge_all(words)):
+        assert vocabulary._merge_long([vocabulary.of_byte[b] for b in word]) == bpe.np.frombuffer(ids, "i4").tolist()
+
+
+def test_turning_generations_of_words_changes_nothing(monkeypatch):
+    texts = [text for text in texts_for_bpe() if text] * 2
+    wanted = bpe.Encoder(bpe.Vocabulary(TOKENIZER)).encode_all(texts)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 5)
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 100)
+    assert bpe.Encoder(bpe.Vocabulary(TOKENIZER)).encode_all(texts) == wanted
 
 
 def test_decoding_skips_unknown_ids_and_mends_broken_utf8(spark):
