@@ -63,21 +63,15 @@ def build(spark: SparkSession, folder: str) -> tuple[Store, dict[str, float]]:
 def run_reports(spark: SparkSession, folder: str, store: Store) -> dict[str, float]:
     kind, (first, last) = SECURITY_TYPE, QUARTER
     source, securities = tables.trades(spark, folder), tables.securities(spark, folder)
-    start, end = reports.midnight(first), datetime(1997, 4, 1)
-
-    def pruned(rows: DataFrame) -> DataFrame:
-        return reports.trades_between(rows, start, end)
-
     month = datetime(1997, 3, 1), datetime(1997, 4, 1)
     silver, detail = jobs.silver_view(store), store.read(jobs.SERVING_TRADE)
     daily, position = store.read(jobs.SERVING_DAILY), store.read(jobs.SERVING_POSITION)
-    in_range = F.col("trade_month").between("1997-01", "1997-03")
     return {name: run_report(df) for name, df in {
         "q_source": lambda: reports.channel_report_on_source(source, securities, kind, first, last),
-        "q_detail": lambda: reports.channel_report(pruned(silver), kind, first, last),
-        "q_serving": lambda: reports.channel_report(pruned(detail), kind, first, last),
-        "q_mart": lambda: reports.channel_report_on_mart(daily.filter(in_range), kind, first, last),
-        "top10_mart": lambda: reports.top_on_mart(daily.filter(in_range), first, last),
+        "q_detail": lambda: reports.channel_report(silver, kind, first, last),
+        "q_serving": lambda: reports.channel_report(detail, kind, first, last),
+        "q_mart": lambda: reports.channel_report_on_mart(daily, kind, first, last),
+        "top10_mart": lambda: reports.top_on_mart(daily, first, last),
         "point_lookup_lake": lambda: silver.filter(F.col("investor_id") == 7),
         "point_lookup_serving": lambda: position.filter(F.col("investor_id") == 7),
         "month_full": lambda: reports.totals(silver),
@@ -124,8 +118,6 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        # Local files: listing on the driver beats a job of one task per folder.
-        "spark.sql.sources.parallelPartitionDiscovery.threshold": "2000",
     })
     spark.sparkContext.setLogLevel("ERROR")
     _, cold = build(spark, folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, time
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +15,28 @@ def date_between(first: date, last: date, column: str = "trade_date") -> Column:
     return F.col(column).between(F.lit(first), F.lit(last))
 
 
+def in_months(rows: DataFrame, first: date, last: date) -> DataFrame:
+    """Only the folders of the months from ``first`` to ``last``, where there are such
+    folders: a reader prunes directories on the partition column itself only."""
+    if "trade_month" not in rows.columns:
+        return rows
+    return rows.filter(F.col("trade_month").between(first.strftime("%Y-%m"), last.strftime("%Y-%m")))
+
+
+def on_dates(rows: DataFrame, first: date, last: date) -> DataFrame:
+    """Rows whose trade date is in a closed range."""
+    return in_months(rows.filter(date_between(first, last)), first, last)
+
+
 def trades_between(trades: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Trades of a half-open time range.
 
-    Where the table is partitioned by month, the months of the range are given
-    as well: a reader prunes directories only on the partition column itself.
+    Where the table is partitioned by month, exactly the months of the range are
+    read: a range that ends at midnight of a first day does not reach into its month.
     """
     stamp = F.col("trade_ts")
     kept = trades.filter((stamp >= at(start)) & (stamp < at(end)))
-    if "trade_month" in trades.columns:
-        kept = kept.filter(F.col("trade_month").between(start.strftime("%Y-%m"),
-                                                        end.strftime("%Y-%m")))
-    return kept
+    return in_months(kept, start, end - timedelta(microseconds=1))
 
 
 def midnight(day: date) -> datetime:
@@ -43,7 +53,7 @@ def by_channel(trades: DataFrame) -> DataFrame:
 
 def channel_report(trades: DataFrame, security_type: str, first: date, last: date) -> DataFrame:
     """One security type over a date range, per channel, on detail rows."""
-    rows = trades.filter((F.col("security_type") == security_type) & date_between(first, last))
+    rows = on_dates(trades.filter(F.col("security_type") == security_type), first, last)
     return by_channel(rows).orderBy(F.desc("volume"), "channel")
 
 
@@ -52,7 +62,7 @@ def channel_report_on_source(trades: DataFrame, securities: DataFrame, security_
     """The same report on the operational tables: the security filter goes into
     the dimension and the date filter into the trade scan."""
     typed = securities.filter(F.col("security_type") == security_type).select("security_id")
-    rows = trades.filter(date_between(first, last))
+    rows = on_dates(trades, first, last)
     joined = join_dimension(rows, typed, "security_id", how="inner")
     return by_channel(joined).orderBy(F.desc("volume"), "channel")
 
@@ -61,7 +71,7 @@ def channel_report_on_mart(daily: DataFrame, security_type: str, first: date,
                            last: date) -> DataFrame:
     """The report from the daily mart. Distinct investors are left out: distinct
     counts of days do not add up to the distinct count of the range."""
-    rows = daily.filter((F.col("security_type") == security_type) & date_between(first, last))
+    rows = on_dates(daily.filter(F.col("security_type") == security_type), first, last)
     return rows.groupBy("channel").agg(
         F.sum("trade_count").alias("trade_count"),
         total("volume", "decimal(24,4)").alias("volume"),
@@ -80,7 +90,7 @@ def top_securities(trades: DataFrame, securities: DataFrame, k: int = 10) -> Dat
 
 
 def top_on_mart(daily: DataFrame, first: date, last: date, k: int = 10) -> DataFrame:
-    return daily.filter(date_between(first, last)).groupBy("security_id", "short_code").agg(
+    return on_dates(daily, first, last).groupBy("security_id", "short_code").agg(
         total("volume", "decimal(24,4)").alias("volume"),
         F.sum("trade_count").alias("trade_count"),
     ).orderBy(F.desc("volume"), "security_id").limit(k)
@@ -125,13 +135,3 @@ def speedup(costs: DataFrame, label: str, cost: str) -> DataFrame:
     worst = costs.agg(F.max(cost)).scalar()
     factor = worst.cast("double") / F.greatest(F.col(cost), F.lit(1)).cast("double")
     return costs.select(label, cost, rounded(factor, 4).alias("factor"))
-
-
-def layer_label(column: str) -> Column:
-    """Readable name of a storage layer."""
-    name = F.col(column)
-    return (F.when(name == "source", "1. operational source")
-            .when(name == "silver", "2. lake detail")
-            .when(name == "serving", "3. serving detail")
-            .when(name == "gold", "4. mart")
-            .otherwise(name))

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import human_size, mebibytes
+from depotlake.operators.upsert import retried
 from depotlake.session import MIB
 from depotlake.sources.shared_files import file_inventory, parquet_files
-from depotlake.sources.store import MAIN, Store, part_of
+from depotlake.sources.store import FILE, FILE_BYTES, MAIN, PART, Store, part_of
 
 
 class UpkeepError(RuntimeError):
@@ -48,8 +49,10 @@ def per_partition(files: DataFrame) -> DataFrame:
                                           F.sum("length").alias("bytes"))
 
 
-def diagnosis(files: DataFrame, min_input_files: int = 2, target_mb: int = 128) -> DataFrame:
-    """What a compaction would find, and what to do where it cannot help."""
+def diagnosis(files: DataFrame, min_input_files: int = 2, target_mb: int = 128,
+              too_fine: float = 0.05) -> DataFrame:
+    """What a compaction would find, and what to do where it cannot help: below ``too_fine``
+    of the target the mean file is small because its partition is."""
     groups = per_partition(files)
     enough = (F.col("files") > 1) & (F.col("files") >= min_input_files)
     counted = groups.agg(
@@ -60,7 +63,7 @@ def diagnosis(files: DataFrame, min_input_files: int = 2, target_mb: int = 128)
         F.try_divide(F.sum("bytes"), F.sum("files")).alias("_mean_bytes"),
     )
     advice = (F.when(F.col("candidates") > 0, "compact")
-              .when(F.col("_mean_bytes") < 0.1 * target_mb * MIB, "partitions are too fine")
+              .when(F.col("_mean_bytes") < too_fine * target_mb * MIB, "partitions are too fine")
               .otherwise("nothing to do"))
     return counted.withColumn("advice", advice).drop("_mean_bytes")
 
@@ -81,20 +84,28 @@ def compact(store: Store, table: str, ref: str = MAIN, min_input_files: int = 2,
     """Rewrite the partitions with too many files; None when there is none.
 
     All of them are one Spark job: adaptive execution cuts a large partition
-    into several tasks and lets one task write several small ones.
+    into several tasks and lets one task write several small ones. When another
+    writer changes the table meanwhile, it starts again from what is there then.
     """
+    return retried(lambda: _compact(store, table, ref, min_input_files, target_mb, sort_by))
+
+
+def _compact(store: Store, table: str, ref: str, min_input_files: int, target_mb: int,
+             sort_by: Sequence[str]) -> int | None:
+    current = store.state(ref)[table]
     groups = per_partition(live_files(store, table, ref))
     chosen = {r["partition"] for r in groups.filter(
         (F.col("files") > 1) & (F.col("files") >= min_input_files)).select("partition").collect()}
     if not chosen:
         return None
-    manifest = store.manifest(table, store.state(ref)[table])
+    manifest = store.manifest(table, current)
     dropped = [p["dir"] for p in manifest["parts"] if p["dir"].partition("/")[2] in chosen]
-    rows = store.read(table, ref, parts=dropped)
+    rows = store.read(table, version=current, parts=dropped)
     before = rows.count()
+    names = [c["name"] for c in manifest["columns"]]
     with advisory_size(store.spark, target_mb * MIB):
-        version = store.write(table, rows.select(*store.columns(table, ref)), ref, "compact",
-                              sort_by=sort_by, dropped=dropped)
+        version = store.write(table, rows.select(*names), ref, "compact", sort_by=sort_by,
+                              dropped=dropped, expected=current)
     after = store.manifest(table, version)["rows_written"]
     if before != after:
         raise UpkeepError(f"{table}: compaction read {before} rows and wrote {after}")
@@ -147,16 +158,16 @@ def table_sizes(store: Store, ref: str = MAIN) -> DataFrame:
 
 
 def pruning_probe(store: Store, table: str, month: str, ref: str = MAIN) -> DataFrame:
-    """Files, bytes and rows behind the whole table and behind one month of it."""
-    files = live_files(store, table, ref)
-    rows = store.read(table, ref)
-    only = F.col("partition").contains(f"trade_month={month}")
+    """Folders, files, bytes and rows behind the whole table and behind one month of it,
+    as the scans themselves report where their rows come from."""
+    rows = store.read(table, ref, with_part=True, with_file=True)
     frames = []
-    for label, kept, part in (("all", files, rows),
-                              (month, files.filter(only), rows.filter(F.col("trade_month") == month))):
-        count = part.agg(F.count(F.lit(1)).alias("n")).scalar()
-        frames.append(file_inventory(kept).select(F.lit(label).alias("scenario"), "files",
-                                                  "bytes", count.alias("rows")))
+    for label, scan in (("all", rows), (month, rows.filter(F.col("trade_month") == month))):
+        per_file = scan.groupBy(PART, FILE, FILE_BYTES).agg(F.count(F.lit(1)).alias("rows"))
+        frames.append(per_file.agg(
+            F.count_distinct(PART).alias("folders"), F.count(F.lit(1)).alias("files"),
+            F.sum(FILE_BYTES).alias("bytes"), F.sum("rows").alias("rows")).select(
+            F.lit(label).alias("scenario"), "*"))
     return frames[0].unionByName(frames[1])
 
 

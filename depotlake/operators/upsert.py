@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from depotlake.model import LATEST_FIRST, TRADE_KEY
 from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from depotlake.session import workspace
-from depotlake.sources.store import PART, Store
+from depotlake.sources.store import PART, ConflictError, Store
 
 
 def matches(target: DataFrame, changes: DataFrame, key: str, stamp: str,
@@ -52,6 +52,23 @@ def merge(target: DataFrame, source: DataFrame, key: str = TRADE_KEY,
     return first.unionByName(rows.filter(F.col(key).isNull()).select(*target.columns))
 
 
+def retried(attempt: Callable[[], int], tries: int = 5) -> int:
+    """The result of ``attempt``, which starts again from its read when another writer came first."""
+    for left in reversed(range(tries)):
+        try:
+            return attempt()
+        except ConflictError:
+            if not left:
+                raise
+    raise AssertionError("unreachable")
+
+
+def latest_of_batch(source: DataFrame, key: str, newest_first: Sequence[str]) -> DataFrame:
+    """One row for each key; rows without a key match nothing and are all kept, as in ``merge``."""
+    keyed = latest_per_key(source.filter(F.col(key).isNotNull()), (key,), newest_first)
+    return keyed.unionByName(source.filter(F.col(key).isNull()))
+
+
 def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str = TRADE_KEY,
                 newest_first: Sequence[str] = LATEST_FIRST, sort_by: Sequence[str] = (),
                 layout: Mapping[str, str] | None = None,
@@ -60,21 +77,34 @@ def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str
 
     A row whose change moves it to another partition leaves its old part that
     way. ``batch`` names a feed and a batch of it: one already contained is skipped.
+    Rows without a key are all added. When another writer changes the table
+    meanwhile, the upsert starts again from what the table shows then.
     """
     current = store.state(ref).get(table)
     if current and batch and store.applied(table, ref, batch[0]) >= batch[1]:
         return current
-    spark = store.spark
-    scratch = workspace(spark, "upsert")
+    scratch = workspace(store.spark, "upsert")
     # The batch is written once: a live source may answer differently the next time.
-    latest_per_key(source, (key,), newest_first).write.parquet(f"{scratch}/changes")
-    changes = spark.read.parquet(f"{scratch}/changes")
+    latest_of_batch(source, key, newest_first).write.parquet(f"{scratch}/changes")
+    changes = store.spark.read.parquet(f"{scratch}/changes")
+    version = retried(lambda: _upsert(store, table, changes, ref, key, newest_first, sort_by, layout, batch))
+    store.files.remove(scratch)
+    return version
+
+
+def _upsert(store: Store, table: str, changes: DataFrame, ref: str, key: str,
+            newest_first: Sequence[str], sort_by: Sequence[str], layout: Mapping[str, str] | None,
+            batch: tuple[str, int] | None) -> int:
+    """One attempt, from the version the ref shows now to the next one."""
+    current = store.state(ref).get(table)
+    if current and batch and store.applied_in(table, current, batch[0]) >= batch[1]:
+        return current
     if not current:
-        version = store.write(table, changes, ref, "upsert", layout, sort_by, batch=batch)
-        store.files.remove(scratch)
-        return version
-    names = store.columns(table, ref)
-    target = store.read(table, ref, with_part=True)
+        return store.write(table, changes, ref, "upsert", layout, sort_by, batch=batch, expected=None)
+    spark = store.spark
+    scratch = workspace(spark, "upsert")
+    names = [c["name"] for c in store.manifest(table, current)["columns"]]
+    target = store.read(table, version=current, with_part=True)
     matches(target, changes, key, newest_first[0]).write.parquet(f"{scratch}/matches")
     hit = spark.read.parquet(f"{scratch}/matches")
     # As many values as the table has parts with a replaced row.
@@ -85,10 +115,10 @@ def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str
         return current
     rows = fresh
     if dropped:
-        affected = store.read(table, ref, parts=dropped)
+        affected = store.read(table, version=current, parts=dropped)
         rows = without(affected, hit.filter("newer"), key).select(*names).unionByName(fresh)
     version = store.write(table, rows, ref, "upsert", layout, sort_by, dropped=dropped,
-                          batch=batch)
+                          batch=batch, expected=current)
     store.files.remove(scratch)
     return version
 
@@ -105,12 +135,12 @@ def update_where(df: DataFrame, condition: Column, changes: Mapping[str, Column]
                            for name, value in changes.items()})
 
 
-def resent_batch(trades: DataFrame, key_shift: int, broker: int) -> DataFrame:
-    """A faulty delivery: trades sent again under new keys with negative amounts."""
+def resent_batch(trades: DataFrame, key_shift: int, channel: str) -> DataFrame:
+    """A faulty delivery: trades sent again under new keys, with amounts in hundredths."""
     return update_all(trades, {
         "trade_id": F.col("trade_id") + key_shift,
-        "amount": -F.abs(F.col("amount")),
-        "broker_id": F.lit(broker),
+        "amount": F.col("amount") * 100,
+        "channel": F.lit(channel),
     })
 
 

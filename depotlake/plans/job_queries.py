@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 from time import perf_counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import at, human_count
@@ -17,16 +17,22 @@ from depotlake.plans import jobs
 from depotlake.plans.recon_queries import balance
 from depotlake.plans.registry import FAULTY, LATEST, SILVER, TRADES, query, sql
 from depotlake.plans.report_queries import QUARTER, SECURITY_TYPE
-from depotlake.plans.write_queries import (BAD_BROKER, KEY_SHIFT, labelled, new_store)
+from depotlake.plans.write_queries import (LATE_CHANNEL, KEY_SHIFT, labelled, new_store)
 from depotlake.sources import tables
 from depotlake.sources.shared_files import SharedFiles, file_inventory, parquet_files
-from depotlake.sources.store import MAIN, Store
+from depotlake.sources.store import FILE, FILE_ROW, MAIN, Store
 
 # The careless feed breaks business rules on purpose; what blocks its ingest is a
 # missing identity. The faults go to the quarantine instead.
 IDENTITY = ("trade_id", "investor_id", "security_id", "trade_ts", "updated_ts")
 
 
+def sorted_inside(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` read with their files, with a flag on those that follow a greater value in their file."""
+    place = Window.partitionBy(FILE).orderBy(FILE_ROW)
+    return rows.withColumn("out_of_order", F.coalesce(F.lag(column).over(place) > F.col(column), F.lit(False)))
+
+
 _published: dict[tuple, Store] = {}
 
 
@@ -92,7 +98,9 @@ def wap_publish(spark, folder):
 @query("refresh_serving", sql(SILVER + " daily", "select * from daily"))
 def refresh_serving(spark, folder):
     """The serving copy after a second refresh equals the mart."""
-    store = published(spark, folder)
+    store = new_store(spark, "refreshed")
+    jobs.run_all(store, tables.trades(spark, folder), tables.investors(spark, folder),
+                 tables.securities(spark, folder), unique=False, rules=null_rules(REQUIRED))
     jobs.refresh_serving(store)
     return store.read(jobs.SERVING_DAILY).drop("trade_month")
 
@@ -157,14 +165,14 @@ def expected_objects(spark, folder):
 @query("pinned_views", sql(TRADES, """
     select 'view' as version, count(*) as trade_count, cast(sum(amount) as decimal(24,4)) as volume from t
     union all
-    select 'stage', count(*) * 2, cast(sum(amount) - sum(abs(amount)) as decimal(24,4)) from t"""))
+    select 'stage', count(*) * 2, cast(sum(amount) * 101 as decimal(24,4)) from t"""))
 def pinned_views(spark, folder):
     """A faulty delivery on a stage does not reach the readers of the view."""
     store = published_trades(spark, folder, "views")
     store.read(jobs.BRONZE).createOrReplaceTempView("published_bronze_trade")
     store.create_ref("stage")
     rows = store.read(jobs.BRONZE).select(*store.columns(jobs.BRONZE))
-    store.append(jobs.BRONZE, resent_batch(rows, KEY_SHIFT, BAD_BROKER), "stage")
+    store.append(jobs.BRONZE, resent_batch(rows, KEY_SHIFT, LATE_CHANNEL), "stage")
     seen = spark.sql("select amount from published_bronze_trade")
     return labelled(seen, "view").unionByName(labelled(store.read(jobs.BRONZE, "stage"), "stage"))
 
@@ -201,6 +209,33 @@ def describe_tables(spark, folder):
     return columns.join(F.broadcast(counts), "table")
 
 
+@query("table_rows", sql(SILVER + " daily pos broker", """
+    select 'bronze.trade' as "table", count(*) as rows from t
+    union all select 'silver.resolved', count(*) from e
+    union all select 'gold.daily_security', count(*) from daily
+    union all select 'gold.position', count(*) from pos
+    union all select 'gold.broker_daily', count(*) from broker
+    union all select 'serving.daily_security', count(*) from daily
+    union all select 'serving.position', count(*) from pos
+    union all select 'serving.trade', count(*) from e"""))
+def table_rows(spark, folder):
+    """The determined part of ``table_sizes``: files and bytes depend on the writer."""
+    return upkeep.table_sizes(published(spark, folder)).select("table", "rows")
+
+
+_TRADE_COLUMNS = ", ".join(f"('{name}', '{kind.simpleString()}', {at})" for at, (name, kind) in enumerate(
+    [(f.name, f.dataType) for f in TRADE.fields]))
+
+
+@query("described_columns", f"""
+    select c as column, k as type, p::int as position from (values {_TRADE_COLUMNS}) as v(c, k, p)""")
+def described_columns(spark, folder):
+    """The declared columns of the stored trades, as a reader finds them."""
+    store = published_trades(spark, folder, "described")
+    rows = [(name, kind, at) for at, (name, kind) in enumerate(store.read(jobs.BRONZE).select(*TRADE.names).dtypes)]
+    return spark.createDataFrame(rows, "column string, type string, position int")
+
+
 @query("table_sizes")
 def table_sizes(spark, folder):
     return upkeep.table_sizes(published(spark, folder))
@@ -232,25 +267,49 @@ def compaction_candidates(spark, folder):
         after.withColumn("state", F.lit("after")))
 
 
+@query("compaction_effect", sql(TRADES, """
+    select 'before' as state, count(*) as partitions, count(*) filter (sides = 2) as candidates,
+           false as one_file_each from (select count(distinct side) as sides from t group by strftime(trade_ts, '%Y-%m'))
+    union all select 'after', count(*), 0, true from (select distinct strftime(trade_ts, '%Y-%m') from t)"""))
+def compaction_effect(spark, folder):
+    """The determined part of ``compaction_candidates`` and of a file profile by partition."""
+    trades = tables.trades(spark, folder)
+    store = new_store(spark, "effect")
+    frames = []
+    store.write("trade", trades.filter("side = 'BUY'"), MAIN, "load", jobs.MONTHLY)
+    store.append("trade", trades.filter("side = 'SELL'"), MAIN)
+    for state in ("before", "after"):
+        if state == "after":
+            upkeep.compact(store, "trade", sort_by=("trade_ts",))
+        files = upkeep.live_files(store, "trade")
+        per = upkeep.per_partition(files).agg(F.max("files").alias("most"))
+        frames.append(upkeep.diagnosis(files).select("partitions", "candidates").crossJoin(per).select(
+            F.lit(state).alias("state"), "partitions", "candidates", (F.col("most") == 1).alias("one_file_each")))
+    return frames[0].unionByName(frames[1])
+
+
 @query("pruning_probe", sql(TRADES, """
-    select 'all' as scenario, count(*) as rows, true as reads_all from t
-    union all select '1997-03', count(*), false from t where strftime(trade_ts, '%Y-%m') = '1997-03'"""))
+    select 'all' as scenario, count(*) as rows, count(distinct strftime(trade_ts, '%Y-%m')) as folders,
+           true as all_bytes from t
+    union all select '1997-03', count(*), 1, false from t where strftime(trade_ts, '%Y-%m') = '1997-03'"""))
 def pruning_probe(spark, folder):
     store = published_trades(spark, folder, "pruning")
     probe = upkeep.pruning_probe(store, jobs.BRONZE, "1997-03")
     whole = upkeep.live_files(store, jobs.BRONZE).agg(F.sum("length")).scalar()
-    return probe.select("scenario", "rows", (F.col("bytes") == whole).alias("reads_all"))
+    return probe.select("scenario", "rows", "folders", (F.col("bytes") == whole).alias("all_bytes"))
 
 
 @query("clustered_layout", sql(TRADES, """
     select strftime(trade_ts, '%Y-%m') as trade_month, count(*) as rows,
-           min(trade_ts) as first_trade, max(trade_ts) as last_trade from t group by 1"""))
+           min(trade_ts) as first_trade, max(trade_ts) as last_trade, 0::bigint as out_of_order
+    from t group by 1"""))
 def clustered_layout(spark, folder):
-    """What each month folder of the stored table holds."""
+    """What each month folder of the stored table holds, and how many rows of its files come
+    after a later one."""
     store = published_trades(spark, folder, "clustered")
-    return store.read(jobs.BRONZE).groupBy("trade_month").agg(
+    return sorted_inside(store.read(jobs.BRONZE, with_file=True), "trade_ts").groupBy("trade_month").agg(
         F.count(F.lit(1)).alias("rows"), F.min("trade_ts").alias("first_trade"),
-        F.max("trade_ts").alias("last_trade"))
+        F.max("trade_ts").alias("last_trade"), F.count_if("out_of_order").alias("out_of_order"))
 
 
 @query("retention_plan")
@@ -302,7 +361,7 @@ def layer_bench(spark, folder):
     costs = spark.createDataFrame(measured, "layer string, elapsed_ms bigint, table_rows bigint")
     factors = reports.speedup(costs, "layer", "elapsed_ms")
     return factors.join(costs.select("layer", "table_rows"), "layer").select(
-        reports.layer_label("layer").alias("layer"), "elapsed_ms",
+        "layer", "elapsed_ms",
         human_count(F.col("table_rows")).alias("table_rows"), "factor")
 
 
@@ -313,6 +372,13 @@ def serving_lookup(spark, folder):
     return store.read(jobs.SERVING_POSITION).filter(F.col("investor_id") == 7).drop("calculated_at")
 
 
+@query("point_lookup", sql(SILVER, "select * from e where investor_id = 7"))
+def point_lookup(spark, folder):
+    """The trades of one investor from the detail copy: no shuffle, and its Bloom filters skip row groups."""
+    store = published(spark, folder)
+    return store.read(jobs.SERVING_TRADE).filter(F.col("investor_id") == 7).drop("trade_month")
+
+
 @query("serving_layout", sql(SILVER, """
     select strftime(trade_ts, '%Y-%m') as trade_month, count(*) as rows,
            min(trade_date) as first_date, max(trade_date) as last_date,

@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, SILVER, TRADE, TRADE_KEY
 from depotlake.operators import marts, quality, reconcile, silver
-from depotlake.operators.upkeep import live_files
 from depotlake.operators.upsert import upsert_into
-from depotlake.session import MIB
 from depotlake.sources.ingest import changed_since, high_water_mark, typed, with_lineage
 from depotlake.sources.store import MAIN, Store
 
@@ -27,9 +25,16 @@ PUBLISHED = (BRONZE, RESOLVED, DAILY, POSITION, BROKER,
 MONTHLY = {"trade_month": "date_format(trade_ts, 'yyyy-MM')"}
 DAILY_MONTHLY = {"trade_month": "date_format(trade_date, 'yyyy-MM')"}
 
-# A folder should hold at least a few full files, or listing costs more than
-# pruning saves.
-FOLDER_BYTES = 1024 * MIB
+# One layout per table, the same at every size. Layout columns are derived: the real ones
+# stay in the files, as a folder name can tell neither '' nor NULL from the other.
+RESOLVED_LAYOUT = {"outcome_part": "outcome", **MONTHLY}
+POSITION_BUCKETS = 16
+
+
+def position_layout(buckets: int = POSITION_BUCKETS) -> dict[str, str]:
+    """By investor, in a declared number of buckets."""
+    return {"investor_bucket": f"pmod(hash(investor_id), {buckets})"}
+
 
 Audit = Callable[[str], None]
 
@@ -93,37 +98,19 @@ def load_bronze(store: Store, source: DataFrame, mode: str = "full",
         lambda ref: audit_bronze(store.read(BRONZE, ref), unique, rules), publish)
 
 
-def silver_view(store: Store, ref: str = MAIN) -> DataFrame:
-    """Valid trades; the outcome is a partition, so quarantined ones are not read."""
-    rows = store.read(RESOLVED, ref).filter(F.col("outcome") == silver.VALID)
-    return rows.select(*SILVER.names, "trade_month")
-
-
-def quarantine_view(store: Store, ref: str = MAIN) -> DataFrame:
-    return silver.quarantined_only(store.read(RESOLVED, ref))
-
-
-def stored_bytes(store: Store, table: str, ref: str = MAIN) -> int:
-    """Size of a table on disk, from a listing."""
-    return live_files(store, table, ref).agg(F.sum("length").alias("n")).first()["n"] or 0
+def with_outcome(store: Store, outcome: str, ref: str = MAIN) -> DataFrame:
+    """Resolved trades of one outcome; folders of the other are not read."""
+    rows = store.read(RESOLVED, ref)
+    return rows.filter((F.col("outcome") == outcome) & (F.col("outcome_part") == outcome))
 
 
-def resolved_layout(size: int, months: int) -> dict[str, str]:
-    """By outcome and month; also by security type once a month is large enough."""
-    layout = {"outcome": "outcome", **MONTHLY}
-    if size >= FOLDER_BYTES * max(months, 1):
-        layout["security_type"] = "security_type"
-    return layout
+def silver_view(store: Store, ref: str = MAIN) -> DataFrame:
+    """Valid trades, with the month for readers that prune by it."""
+    return with_outcome(store, silver.VALID, ref).select(*SILVER.names, "trade_month")
 
 
-def position_layout(size: int) -> dict[str, str]:
-    """By security type; large tables also by as many investor buckets as fill a
-    folder each."""
-    layout = {"security_type": "security_type"}
-    buckets = size // FOLDER_BYTES
-    if buckets >= 2:
-        layout["investor_bucket"] = f"pmod(hash(investor_id), {min(buckets, 4096)})"
-    return layout
+def quarantine_view(store: Store, ref: str = MAIN) -> DataFrame:
+    return silver.quarantined_only(with_outcome(store, silver.QUARANTINED, ref))
 
 
 def audit_silver(store: Store, ref: str) -> None:
@@ -140,10 +127,7 @@ def build_silver(store: Store, investors: DataFrame, securities: DataFrame,
     def write(ref: str) -> None:
         bronze = store.read(BRONZE, ref).select(*TRADE.names)
         resolved = silver.resolve(bronze, investors, securities)
-        parts = store.manifest(BRONZE, store.state(ref)[BRONZE])["parts"]
-        months = len({p["dir"].partition("/")[2] for p in parts})
-        layout = resolved_layout(stored_bytes(store, BRONZE, ref), months)
-        store.write(RESOLVED, resolved, ref, "full refresh", layout,
+        store.write(RESOLVED, resolved, ref, "full refresh", RESOLVED_LAYOUT,
                     ("security_type", "trade_ts", "security_id"))
 
     return write_audit_publish(store, "etl_silver", write,
@@ -154,7 +138,7 @@ def audit_gold(store: Store, ref: str) -> None:
     """Marts hold each key once, count every valid trade, and no closed position.
     One query, so that the marts are checked side by side."""
     none = F.lit(0).cast("bigint")
-    valid = store.read(RESOLVED, ref).filter(F.col("outcome") == silver.VALID)
+    valid = with_outcome(store, silver.VALID, ref)
     found = valid.agg(F.count(F.lit(1)).alias("trades")).select(
         F.lit(RESOLVED).alias("table"), none.alias("repeated"), none.alias("closed"), "trades")
     for table, keys in ((DAILY, DAILY_KEYS), (POSITION, PAIR_KEY), (BROKER, BROKER_KEYS)):
@@ -188,7 +172,7 @@ def build_gold(store: Store, calculated_at: datetime | None = None, publish: boo
              "sort_by": ("trade_date", "security_type", "security_id", "channel")},
             {"table": POSITION, "df": marts.positions(trades).withColumn("calculated_at", at),
              "operation": "full refresh",
-             "layout": position_layout(stored_bytes(store, RESOLVED, ref)),
+             "layout": position_layout(),
              "sort_by": ("investor_id", "security_id")},
             {"table": BROKER, "df": marts.broker_daily(trades), "operation": "full refresh",
              "layout": DAILY_MONTHLY, "sort_by": ("trade_date", "broker_id")},
@@ -213,7 +197,7 @@ def refresh_serving(store: Store, publish: bool = True) -> str:
         strict = daily.select(*(F.col(c) if c == "vwap" else required(c, t)
                                 for c, t in daily.dtypes))
         position = store.read(POSITION, ref).select(*store.columns(POSITION, ref))
-        detail = store.read(RESOLVED, ref).filter(F.col("outcome") == silver.VALID)
+        detail = with_outcome(store, silver.VALID, ref)
         store.write_together(ref, [
             {"table": SERVING_DAILY, "df": strict, "operation": "refresh",
              "layout": DAILY_MONTHLY,
@@ -242,13 +226,17 @@ def refresh_serving(store: Store, publish: bool = True) -> str:
 
 def register_views(store: Store, ref: str = MAIN) -> list[str]:
     """Temp views pinned to the versions ``ref`` shows now; later writes on other
-    refs do not reach their readers."""
-    views = {"bronze_trade": lambda: store.read(BRONZE, ref),
+    refs do not reach their readers. Layout columns are hidden, except the month of silver
+    trades, which their readers prune by."""
+    def plain(table: str) -> DataFrame:
+        return store.read(table, ref).select(*store.columns(table, ref))
+
+    views = {"bronze_trade": lambda: plain(BRONZE),
              "silver_trade": lambda: silver_view(store, ref),
              "silver_quarantine": lambda: quarantine_view(store, ref),
-             "gold_daily_security": lambda: store.read(DAILY, ref),
-             "gold_position": lambda: store.read(POSITION, ref),
-             "gold_broker_daily": lambda: store.read(BROKER, ref)}
+             "gold_daily_security": lambda: plain(DAILY),
+             "gold_position": lambda: plain(POSITION),
+             "gold_broker_daily": lambda: plain(BROKER)}
     for name, read in views.items():
         read().createOrReplaceTempView(name)
     return list(views)
@@ -259,7 +247,8 @@ def verify(store: Store, balance: DataFrame, views: Sequence[str] = ()) -> DataF
     compared = reconcile.full_comparison(balance, store.read(POSITION)).first()
     zero = store.read(POSITION).filter("net_qty = 0").count()
     rows = reconcile.row_accounting(store.read(BRONZE), store.read(RESOLVED)).first()
-    explained = rows["silver"] + rows["quarantine"] + rows["duplicates"]
+    # Key by key: a lost and a repeated row do not make up for each other.
+    explained = rows["silver"] + rows["quarantine"] + rows["duplicates"] - rows["lost"] - rows["repeated"]
     existing = {t.name for t in store.spark.catalog.listTables()}
     check = reconcile.check
     checks = [
@@ -287,9 +276,17 @@ def expected_tables(store: Store, expected: Sequence[str] = PUBLISHED) -> DataFr
 
 
 def run_all(store: Store, source: DataFrame, investors: DataFrame, securities: DataFrame,
-            unique: bool = True, rules: dict[str, Column] | None = None) -> None:
-    """Bronze, silver, gold and the serving copies; the first failure stops the run."""
+            unique: bool = True, rules: dict[str, Column] | None = None,
+            balance: DataFrame | None = None) -> None:
+    """Bronze, silver, gold and the serving copies; the first failure stops the run.
+
+    With the depository's ``balance`` the run ends with the gate: positions must
+    reconcile, and every check of the suite must pass.
+    """
     load_bronze(store, source, unique=unique, rules=rules)
     build_silver(store, investors, securities)
     build_gold(store)
     refresh_serving(store)
+    if balance is not None:
+        reconcile.reconciliation_gate(balance, store.read(POSITION))
+        reconcile.require_passed(verify(store, balance, register_views(store)))

@@ -34,7 +34,9 @@ def scan_trades(spark, folder):
 
 @query("bronze_typed", sql(TRADES, "select * from t"))
 def bronze_typed(spark, folder):
-    return typed(tables.trades(spark, folder), TRADE)
+    """Every column comes as text and leaves in its declared type."""
+    trades = tables.trades(spark, folder)
+    return typed(trades.select(*(F.col(name).cast("string").alias(name) for name in trades.columns)), TRADE)
 
 
 @query("key_bounds", sql(TRADES, """

@@ -117,7 +117,8 @@ _BLOCKS = {
     "bal": """
     select d.investor_id,
            case when c.active then d.security_id else d.security_id + 1000000000 end as security_id,
-           cast(sum(case when side = 'BUY' then qty else -qty end) as decimal(24,4)) as nominal_qty
+           cast(sum(case when side = 'BUY' then qty else -qty end)
+                + case when max(d.investor_id) % 40 = 0 then 1 else 0 end as decimal(24,4)) as nominal_qty
     from d join c on d.investor_id = c.investor_id
     group by all having sum(case when side = 'BUY' then qty else -qty end) <> 0""",
 }

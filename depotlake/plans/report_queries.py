@@ -114,11 +114,6 @@ def speedup_ratio(spark, folder):
     return reports.speedup(counts, "channel", "trade_count")
 
 
-@query("point_lookup", sql(SILVER, "select * from e where investor_id = 7"))
-def point_lookup(spark, folder):
-    return silver_trades(spark, folder).filter(F.col("investor_id") == 7)
-
-
 @query("month_total", sql(TRADES, """
     select count(*) as trade_count, cast(sum(amount) as decimal(24,4)) as volume,
            cast(cast(cast(sum(amount) as double) / count(amount) as decimal(27,7)) as decimal(24,4)) as mean_amount
@@ -225,29 +220,39 @@ def scalar_numeric(spark, folder):
     )
 
 
-@query("scalar_string", sql("c", """
-    select investor_id, 'INV' || lpad(cast(investor_id as varchar), 12, '0') as registry_no,
-           upper(substring(md5(cast(investor_id as varchar)), 1, 5)) as short_hash,
-           concat_ws('/', investor_type, country, null) as path,
-           replace(country, ' ', '_') as token, split_part(investor_type, 'U', 1) as head,
-           country like 'A%' as starts_with_a, cast(investor_id as varchar) as as_text,
-           (['low', 'medium', 'medium', 'high'])[1 + investor_id % 4] as risk,
-           coalesce(nullif(country, 'CHINA'), 'n/a') as filled
-    from c"""))
+@query("scalar_string", """
+    select p_partkey, p_brand || ' / ' || p_type as title, rpad(p_brand, 10, '.') as padded,
+           lower(p_type) as lower_type, trim(p_type, 'EL') as trimmed,
+           concat_ws('-', p_brand, null, p_size) as code, replace(p_type, ' ', '') as joined,
+           split_part(p_type, ' ', 2) as finish, length(p_name) as name_length,
+           reverse(p_brand) as backwards, p_type like '%BRASS' as is_brass,
+           sha256(p_name) as name_digest, cast(p_size as varchar) as as_text,
+           coalesce(nullif(p_size, 1), 0)::int as size_or_zero,
+           map_extract(map {'BRASS': 'yellow', 'COPPER': 'red', 'STEEL': 'grey'},
+                       split_part(p_type, ' ', 3))[1] as colour,
+           list_sort(string_split(p_type, ' '))[1] as first_word
+    from part""")
 def scalar_string(spark, folder):
-    number = F.col("investor_id").cast("string")
-    risks = F.array(*(F.lit(v) for v in ("low", "medium", "medium", "high")))
-    return tables.investors(spark, folder).select(
-        "investor_id",
-        F.concat(F.lit("INV"), F.lpad(number, 12, "0")).alias("registry_no"),
-        F.upper(F.substring(F.md5(number), 1, 5)).alias("short_hash"),
-        F.concat_ws("/", "investor_type", "country", F.lit(None).cast("string")).alias("path"),
-        F.replace(F.col("country"), F.lit(" "), F.lit("_")).alias("token"),
-        F.split("investor_type", "U")[0].alias("head"),
-        F.col("country").like("A%").alias("starts_with_a"),
-        number.alias("as_text"),
-        F.element_at(risks, (1 + F.col("investor_id") % 4).cast("int")).alias("risk"),
-        F.coalesce(F.nullif(F.col("country"), F.lit("CHINA")), F.lit("n/a")).alias("filled"),
+    """Functions on the part table: one column for each."""
+    words = F.split("p_type", " ")
+    colours = F.create_map(*map(F.lit, ("BRASS", "yellow", "COPPER", "red", "STEEL", "grey")))
+    return tables.table(spark, folder, "part").select(
+        "p_partkey",
+        F.concat("p_brand", F.lit(" / "), "p_type").alias("title"),
+        F.rpad("p_brand", 10, ".").alias("padded"),
+        F.lower("p_type").alias("lower_type"),
+        F.trim("p_type", F.lit("EL")).alias("trimmed"),
+        F.concat_ws("-", "p_brand", F.lit(None).cast("string"), F.col("p_size").cast("string")).alias("code"),
+        F.replace(F.col("p_type"), F.lit(" "), F.lit("")).alias("joined"),
+        F.split_part("p_type", F.lit(" "), F.lit(2)).alias("finish"),
+        F.length("p_name").cast("bigint").alias("name_length"),
+        F.reverse("p_brand").alias("backwards"),
+        F.col("p_type").like("%BRASS").alias("is_brass"),
+        F.sha2("p_name", 256).alias("name_digest"),
+        F.col("p_size").cast("string").alias("as_text"),
+        F.coalesce(F.nullif(F.col("p_size"), F.lit(1)), F.lit(0)).cast("int").alias("size_or_zero"),
+        colours[F.split_part("p_type", F.lit(" "), F.lit(3))].alias("colour"),
+        F.array_sort(words)[0].alias("first_word"),
     )
 
 

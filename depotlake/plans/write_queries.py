@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import at, month_of, total
-from depotlake.model import LATEST_FIRST, TRADE
+from depotlake.model import LATEST_FIRST, REQUIRED, TRADE
 from depotlake.operators import evolution, marts, quality, upkeep
 from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.reports import midnight, totals
 from depotlake.operators.upsert import (merge, resent_batch, sample_batch, update_all,
                                         update_where, upsert_into)
 from depotlake.operators.versions import version_diff
-from depotlake.plans.jobs import DAILY_MONTHLY, MONTHLY
+from depotlake.operators.quality import null_rules
+from depotlake.plans.jobs import DAILY_MONTHLY, MONTHLY, audit_bronze
 from depotlake.plans.lake_queries import silver_trades
 from depotlake.plans.registry import LATEST, SILVER, TRADES, query, sql
 from depotlake.plans.report_queries import QUARTER
@@ -27,7 +28,7 @@ from depotlake.streaming.ingest import stream_upsert
 # Fixed values of the scenarios on the given tables.
 CUTOVER = datetime(2001, 1, 1)
 HISTORY_END, FEED_START = datetime(2000, 1, 1), datetime(1999, 7, 1)
-KEY_SHIFT, BAD_BROKER = 900_000_000, 999_999
+KEY_SHIFT, LATE_CHANNEL = 3_000_000_000, "LATE FILE"
 
 
 def new_store(spark: SparkSession, purpose: str) -> Store:
@@ -191,7 +192,8 @@ def streamed(spark, folder):
     feed.write.parquet(f"{scratch}/feed")
     store = Store(spark, f"{scratch}/store")
     stream_upsert(store, "trade", f"{scratch}/feed", TRADE, f"{scratch}/checkpoint",
-                  "stream_upsert", layout=MONTHLY, sort_by=("trade_ts",), files_per_batch=1)
+                  "stream_upsert", lambda batch: audit_bronze(batch, unique=False, rules=null_rules(REQUIRED)),
+                  layout=MONTHLY, sort_by=("trade_ts",), files_per_batch=1)
     return _plain(store.read("trade"))
 
 
@@ -209,11 +211,11 @@ def update_some_rows(spark, folder):
 
 @query("dirty_batch", sql(LATEST, """
     select * from d union all
-    select * replace (trade_id + 900000000 as trade_id,
-                      cast(-abs(amount) as decimal(20,4)) as amount, 999999 as broker_id) from d"""))
+    select * replace (trade_id + 3000000000 as trade_id,
+                      cast(amount * 100 as decimal(20,4)) as amount, 'LATE FILE' as channel) from d"""))
 def dirty_batch(spark, folder):
     rows = latest_per_key(tables.trades(spark, folder))
-    return rows.unionByName(resent_batch(rows, KEY_SHIFT, BAD_BROKER))
+    return rows.unionByName(resent_batch(rows, KEY_SHIFT, LATE_CHANNEL))
 
 
 @query("sample_batch", sql(TRADES, """
@@ -284,7 +286,7 @@ def current_version(spark, folder):
         F.max_by("version", "made_at").alias("newest_written")).withColumn("trade_count", rows)
 
 
-_RESENT = "count(*) * 2 as trade_count, cast(sum(amount) - sum(abs(amount)) as decimal(24,4)) as volume"
+_RESENT = "count(*) * 2 as trade_count, cast(sum(amount) * 101 as decimal(24,4)) as volume"
 
 
 @query("wap_isolation", sql(LATEST, f"""
@@ -293,24 +295,25 @@ def wap_isolation(spark, folder):
     """A faulty delivery on a stage is invisible on main."""
     store = trade_store(spark, folder, "isolation")
     store.create_ref("stage")
-    store.append("trade", resent_batch(_plain(store.read("trade")), KEY_SHIFT, BAD_BROKER), "stage")
+    store.append("trade", resent_batch(_plain(store.read("trade")), KEY_SHIFT, LATE_CHANNEL), "stage")
     return labelled(store.read("trade"), "main").unionByName(
         labelled(store.read("trade", "stage"), "stage"))
 
 
 @query("wap_repair", sql(LATEST, """
     select * from d union all
-    select * replace (trade_id + 900000000 as trade_id, 999999 as broker_id) from d"""))
+    select * replace (trade_id + 3000000000 as trade_id, 'LATE FILE' as channel) from d"""))
 def wap_repair(spark, folder):
     """The delivery is audited and repaired on the stage, then published."""
     store = trade_store(spark, folder, "repair")
     store.create_ref("stage")
-    store.append("trade", resent_batch(_plain(store.read("trade")), KEY_SHIFT, BAD_BROKER), "stage")
-    rules = {"amount not positive": F.col("amount") <= 0}
+    store.append("trade", resent_batch(_plain(store.read("trade")), KEY_SHIFT, LATE_CHANNEL), "stage")
+    hundredths = F.col("amount") > F.col("qty") * F.col("price") * 50
+    rules = {"amount in hundredths": hundredths}
     if not quality.findings(quality.violations(store.read("trade", "stage"), rules)):
         raise quality.QualityError("the audit overlooked the faulty delivery")
     staged = _plain(store.read("trade", "stage"))
-    store.write("trade", update_where(staged, F.col("amount") < 0, {"amount": -F.col("amount")}),
+    store.write("trade", update_where(staged, hundredths, {"amount": F.col("amount") / 100}),
                 "stage", "repair", sort_by=("trade_ts",))
     quality.require_clean(quality.violations(store.read("trade", "stage"), rules), "stage")
     store.publish("stage")
@@ -319,32 +322,33 @@ def wap_repair(spark, folder):
 
 # ---- evolution
 
-_NEW = {"venue": "string", "order_ref": "string", "rule_code": "string"}
-_MARCH = (datetime(1997, 3, 1), datetime(1997, 3, 5))
+# The quarter learns what a trade costs to settle; buys of February that were re-priced come with it.
+_NEW = {"settle_days": "int", "settle_fee": "decimal(12,4)"}
+_FEBRUARY = (datetime(1997, 2, 1), datetime(1997, 3, 1))
 
 
 def evolved_store(spark: SparkSession, folder: str, purpose: str, layout=None) -> Store:
-    """The quarter with three columns more and a delivery that fills them."""
+    """The quarter with two columns more and a delivery that fills them."""
     store = quarter_store(spark, folder, purpose)
     old = store.read("quarter").select(*_QUARTER_COLUMNS)
     evolution.add_columns(store, "quarter", MAIN, _NEW)
     if layout:
         evolution.change_layout(store, "quarter", MAIN, layout)
     stamp = F.col("trade_ts")
-    late = old.filter((stamp >= at(_MARCH[0])) & (stamp < at(_MARCH[1]))).withColumns({
-        "trade_id": F.col("trade_id") + 800_000_000, "venue": F.lit("EXCHANGE"),
-        "order_ref": F.lit("ORDER-NEW"), "rule_code": F.lit("RULE-01")})
+    late = old.filter((stamp >= at(_FEBRUARY[0])) & (stamp < at(_FEBRUARY[1])) & (F.col("side") == "BUY")).withColumns({
+        "trade_id": -F.col("trade_id"), "settle_days": (F.col("security_id") % 3).cast("int"),
+        "settle_fee": (F.col("amount") / 1000).cast("decimal(12,4)")})
     store.append("quarter", late, MAIN, ("trade_ts",))
     return store
 
 
 _EVOLVED_SQL = f"""
-    select {', '.join(_QUARTER_COLUMNS)}, cast(null as varchar) as venue,
-           cast(null as varchar) as order_ref, cast(null as varchar) as rule_code from q
+    select {', '.join(_QUARTER_COLUMNS)}, cast(null as int) as settle_days,
+           cast(null as decimal(12,4)) as settle_fee from q
     union all
-    select {', '.join(_QUARTER_COLUMNS).replace('trade_id', 'trade_id + 800000000')},
-           'EXCHANGE', 'ORDER-NEW', 'RULE-01' from q
-    where trade_ts >= timestamp '1997-03-01' and trade_ts < timestamp '1997-03-05'"""
+    select {', '.join(_QUARTER_COLUMNS).replace('trade_id', '-trade_id')},
+           (security_id % 3)::int, cast(cast(amount as decimal(24,7)) * 0.001 as decimal(12,4)) from q
+    where trade_ts >= timestamp '1997-02-01' and trade_ts < timestamp '1997-03-01' and side = 'BUY'"""
 
 
 def _quarter_sql(body: str) -> str:
@@ -357,14 +361,14 @@ def schema_add_columns(spark, folder):
     return store.read("quarter").select(*_QUARTER_COLUMNS, *_NEW)
 
 
-_MIXED_SQL = f"""select count(*) as total, count(*) filter (venue is null) as old_schema,
-    count(*) filter (venue is not null) as new_schema from ({_EVOLVED_SQL})"""
+_MIXED_SQL = f"""select count(*) as total, count(*) filter (settle_fee is null) as old_schema,
+    count(*) filter (settle_fee is not null) as new_schema from ({_EVOLVED_SQL})"""
 
 
 def _mixed(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"),
-                  F.count_if(F.col("venue").isNull()).alias("old_schema"),
-                  F.count_if(F.col("venue").isNotNull()).alias("new_schema"))
+                  F.count_if(F.col("settle_fee").isNull()).alias("old_schema"),
+                  F.count_if(F.col("settle_fee").isNotNull()).alias("new_schema"))
 
 
 @query("mixed_schema_counts", _quarter_sql(_MIXED_SQL))
@@ -401,6 +405,81 @@ def old_version_old_schema(spark, folder):
     return evolved_store(spark, folder, "old-schema").read("quarter", version=1).drop("trade_month")
 
 
+_HALVES = ("trade_ts < timestamp '1997-02-15'", "trade_ts >= timestamp '1997-02-15'")
+
+
+def half_store(spark: SparkSession, folder: str, purpose: str) -> tuple[Store, DataFrame]:
+    """The first half of the quarter in a table, and the second half."""
+    rows = quarter_store(spark, folder, purpose).read("quarter").select(*_QUARTER_COLUMNS)
+    store = new_store(spark, purpose)
+    store.write("half", rows.filter(_HALVES[0]), MAIN, "load", MONTHLY)
+    return store, rows.filter(_HALVES[1])
+
+
+@query("append_narrower", _quarter_sql(f"""
+    select * replace (case when {_HALVES[0]} then commission end as commission),
+           case when {_HALVES[1]} then side end as flag from q"""))
+def append_narrower(spark, folder):
+    """A delivery without one column, and a later one with a new column: the absent one is
+    NULL there, and the new one is not taken for it."""
+    store, rest = half_store(spark, folder, "narrower")
+    store.append("half", rest.drop("commission").limit(0), MAIN)
+    store.append("half", rest.drop("commission").withColumn("flag", F.col("side")), MAIN)
+    return store.read("half").select(*_QUARTER_COLUMNS, "flag")
+
+
+@query("append_after_widen", _quarter_sql(f"""
+    select * replace (cast(case when {_HALVES[0]} then cast(price as decimal(28,6)) * 100000000 else price end as decimal(28,6)) as price)
+    from q"""))
+def append_after_widen(spark, folder):
+    """An append of the old type does not narrow a widened column again."""
+    store, rest = half_store(spark, folder, "widened")
+    evolution.widen_column(store, "half", MAIN, "price", "decimal(28,6)")
+    large = store.read("half").select(*_QUARTER_COLUMNS).withColumn(
+        "price", (F.col("price") * 100_000_000).cast("decimal(28,6)"))
+    store.write("half", large, MAIN, "update")
+    store.append("half", rest, MAIN)
+    return store.read("half").select(*_QUARTER_COLUMNS)
+
+
+@query("rename_partition_source", _quarter_sql("select * exclude (trade_ts), trade_ts as traded_at from q"))
+def rename_partition_source(spark, folder):
+    """The layout follows when the column it is derived from gets another name."""
+    store, rest = half_store(spark, folder, "renamed")
+    evolution.rename_column(store, "half", MAIN, "trade_ts", "traded_at")
+    store.append("half", rest.withColumnRenamed("trade_ts", "traded_at"), MAIN)
+    names = ["traded_at" if c == "trade_ts" else c for c in _QUARTER_COLUMNS]
+    return store.read("half").select(*names)
+
+
+_ODD = """case trade_id % 6 when 0 then '' when 1 then null when 2 then 'a/b=c' when 3 then '50% +x'
+          when 4 then ' ' else channel end"""
+
+
+@query("odd_partition_values", sql(LATEST, f"select * replace ({_ODD} as channel) from d"))
+def odd_partition_values(spark, folder):
+    """Empty, missing and odd values of a column that the layout is derived from come back as they were."""
+    store = new_store(spark, "odd")
+    rows = latest_per_key(tables.trades(spark, folder)).withColumn("channel", F.expr(_ODD))
+    store.write("trade", rows, MAIN, "load", {"channel_part": "channel"})
+    return _plain(store.read("trade"))
+
+
+_KEYLESS = "case when trade_id % 5 = 0 then null else trade_id end"
+
+
+@query("upsert_null_keys", sql(LATEST, f"""
+    select * replace ({_KEYLESS} as trade_id) from d
+    union all select * replace (null as trade_id) from d where trade_id % 5 = 0"""))
+def upsert_null_keys(spark, folder):
+    """Rows without a key match nothing: those of the table stay, those of the feed are added."""
+    rows = latest_per_key(tables.trades(spark, folder)).withColumn("trade_id", F.expr(_KEYLESS))
+    store = new_store(spark, "keyless")
+    store.write("trade", rows, MAIN, "load", MONTHLY)
+    upsert_into(store, "trade", rows, MAIN)
+    return _plain(store.read("trade"))
+
+
 # ---- upkeep that keeps rows
 
 @query("compact_preserves_rows", sql(LATEST, "select * from d"))

@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
+    # Some years of month folders are listed by the driver, which beats a job of one task per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "256",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(ADVISORY_PARTITION_BYTES),
@@ -31,11 +33,10 @@ def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
     """Initial reducer count for a job that shuffles ``input_bytes``.
 
     AQE merges small reducers but cannot make more than it started with, so the
-    start is sized from the data: one reducer per advisory partition, at least
-    one per core, and few enough for the map-output tracker.
+    start is sized from the data: one reducer per advisory partition, and at least
+    one per core.
     """
-    wanted = -(-int(input_bytes) // ADVISORY_PARTITION_BYTES)
-    return max(cores, min(wanted, 100_000))
+    return max(cores, -(-int(input_bytes) // ADVISORY_PARTITION_BYTES))
 
 
 def build_session(app: str, master: str | None = None, input_bytes: int | None = None,

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+import threading
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_renaming = threading.Lock()
+
+
 class AlreadyThereError(RuntimeError):
     """Another writer created the file first."""
 
@@ -18,6 +23,7 @@ class SharedFiles:
 
     def __init__(self, spark: SparkSession):
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _open(self, path: str):
@@ -26,18 +32,27 @@ class SharedFiles:
 
     def create(self, path: str, content: dict) -> None:
         """Write one JSON line; fails when the file exists, so that of two
-        writers with the same number only one succeeds."""
+        writers with the same number only one succeeds. The file is written
+        aside and renamed, so a reader never sees half of it."""
         fs, target = self._open(path)
+        aside = self._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}.aside")
+        stream = fs.create(aside, False)
+        try:
+            stream.write(bytearray(json.dumps(content) + "\n", "utf-8"))
+        finally:
+            stream.close()
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf)
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        how = self._gateway.new_array(rename, 1)
+        how[0] = rename.NONE
         try:
-            stream = fs.create(target, False)
+            with _renaming:  # a local file system checks and renames in two steps
+                context.rename(aside, target, how)
         except Py4JJavaError as error:
+            fs.delete(aside, False)
             if "AlreadyExists" in error.java_exception.getClass().getName():
                 raise AlreadyThereError(path) from None
             raise
-        try:
-            stream.write(bytearray(json.dumps(content) + "\n", "utf-8"))
-        finally:
-            stream.close()
 
     def read(self, path: str) -> dict:
         fs, source = self._open(path)

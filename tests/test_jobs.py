@@ -4,6 +4,8 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from conftest import plan_of
 from depotlake.operators import marts, reconcile
 from depotlake.operators.quality import QualityError
 from depotlake.plans import jobs
@@ -107,7 +109,8 @@ def test_audits_stop_wrong_marts(lake):
     with pytest.raises(QualityError):
         jobs.audit_gold(lake, "stage")
     lake.create_ref("lost")
-    resolved = lake.read(jobs.RESOLVED).filter("outcome = 'valid'").drop("trade_month")
+    resolved = lake.read(jobs.RESOLVED).filter("outcome = 'valid'").select(
+        *lake.columns(jobs.RESOLVED))
     lake.write(jobs.RESOLVED, resolved, "lost")
     with pytest.raises(QualityError, match="add up"):
         jobs.audit_silver(lake, "lost")
@@ -141,12 +144,55 @@ def test_serving_copies_refuse_nulls(spark, silver_rows):
         rows.collect()
 
 
-def test_layouts_follow_the_size():
-    gib = 1 << 30
-    assert list(jobs.resolved_layout(10 * gib, 83)) == ["outcome", "trade_month"]
-    assert list(jobs.resolved_layout(100 * gib, 83)) == ["outcome", "trade_month", "security_type"]
-    assert list(jobs.position_layout(gib)) == ["security_type"]
-    assert jobs.position_layout(100 * 1024 * gib)["investor_bucket"].endswith("4096)")
+def test_views_have_the_declared_columns_only(lake, spark):
+    jobs.register_views(lake)
+    for view, table in (("bronze_trade", jobs.BRONZE), ("gold_position", jobs.POSITION), ("gold_daily_security", jobs.DAILY)):
+        assert spark.table(view).columns == lake.columns(table)
+    layouts = {table: {p["name"]: p["expr"] for p in lake.manifest(table, lake.state()[table])["layout"]}
+               for table in (jobs.RESOLVED, jobs.POSITION)}
+    assert layouts == {jobs.RESOLVED: jobs.RESOLVED_LAYOUT, jobs.POSITION: jobs.position_layout()}
+
+
+def test_the_outcome_prunes_folders(lake):
+    assert "PartitionFilters: [isnotnull(outcome_part" in plan_of(jobs.silver_view(lake))
+
+
+def test_a_wrong_position_stops_the_run(store, feed, investors, securities):
+    balance = marts.eod_balance(jobs_valid(store, feed, investors, securities))
+    jobs.run_all(store, feed, investors, securities, balance=balance)
+    wrong = balance.withColumn("nominal_qty", F.col("nominal_qty") + 1)
+    with pytest.raises(reconcile.ReconciliationError):
+        jobs.run_all(store, feed, investors, securities, balance=wrong)
+
+
+def jobs_valid(store, feed, investors, securities):
+    jobs.run_all(store, feed, investors, securities)
+    return jobs.silver_view(store)
+
+
+def test_a_lost_and_a_repeated_row_do_not_cancel(lake):
+    resolved = lake.read(jobs.RESOLVED).select(*lake.columns(jobs.RESOLVED))
+    valid = resolved.filter("outcome = 'valid'")
+    lost, kept = [r.trade_id for r in valid.select("trade_id").orderBy("trade_id").limit(2).collect()]
+    lake.write(jobs.RESOLVED, resolved.filter(F.col("trade_id") != lost).unionByName(
+        valid.filter(F.col("trade_id") == kept)), MAIN, "damage")
+    row = jobs.verify(lake, marts.eod_balance(valid), []).filter("check_no = 6").first()
+    assert not row.passed
+
+
+def test_a_bad_batch_stays_on_its_stage(spark, store, trade_rows):
+    scratch = workspace(spark, "bad-stream")
+
+    def stream():
+        stream_upsert(store, "trade", f"{scratch}/feed", TRADE, f"{scratch}/checkpoint", "changes",
+                      lambda batch: jobs.audit_bronze(batch, unique=False), files_per_batch=1)
+    trade_rows({}).coalesce(1).write.mode("append").parquet(f"{scratch}/feed")
+    stream()
+    trade_rows({"trade_id": 2, "qty": None}).coalesce(1).write.mode("append").parquet(f"{scratch}/feed")
+    with pytest.raises(Exception, match="qty is null"):
+        stream()
+    assert [r.trade_id for r in store.read("trade").collect()] == [1]
+    assert len(store.refs()) == 2
 
 
 def test_stream_equals_batch_and_survives_a_replay(spark, store, trade_rows):
@@ -158,7 +204,7 @@ def test_stream_equals_batch_and_survives_a_replay(spark, store, trade_rows):
 
     def run(checkpoint):
         stream_upsert(store, "trade", f"{scratch}/feed", TRADE, f"{scratch}/{checkpoint}", "changes",
-                      files_per_batch=1)
+                      lambda batch: None, files_per_batch=1)
         return {r.trade_id: r.broker_id for r in store.read("trade").collect()}
 
     assert run("first") == {1: 6, 2: 5, 3: 5}
