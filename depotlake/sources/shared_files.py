@@ -54,6 +54,15 @@ class SharedFiles:
                 raise AlreadyThereError(path) from None
             raise
 
+    def put(self, path: str, content: bytes) -> None:
+        """Write a small new file."""
+        fs, target = self._open(path)
+        stream = fs.create(target, False)
+        try:
+            stream.write(bytearray(content))
+        finally:
+            stream.close()
+
     def read(self, path: str) -> dict:
         fs, source = self._open(path)
         stream = fs.open(source)
