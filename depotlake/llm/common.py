@@ -2,10 +2,47 @@
 
 from __future__ import annotations
 
+import functools
+import io
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import depotlake
 from depotlake.session import workspace
+from depotlake.sources.shared_files import SharedFiles
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application.
+
+    Functions that run there are named by their module, which a worker on another machine may not have.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root, content = Path(depotlake.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    path = f"{workspace(spark, 'code')}/depotlake.zip"
+    SharedFiles(spark).put(path, content.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)
+
+
+def shipped(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``function`` of a session and more, run after ``ship``."""
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args, **kwargs) -> DataFrame:
+        ship(spark)
+        return function(spark, *args, **kwargs)
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

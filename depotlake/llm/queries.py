@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.llm import bpe, decontaminate, language, licenses, quality, secrets, simhash, substrings, topk, toxicity
-from depotlake.llm.common import held_out, learnable, table
+from depotlake.llm.common import held_out, learnable, shipped, table
 from depotlake.llm.labelled import labelled_sample
 from depotlake.llm.sql import LICENSES_SQL, SECRETS_SQL, TOPK_SQL
 
@@ -88,18 +88,9 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality": op1_quality,
-    "op2_decontaminate": op2_decontaminate,
-    "op3_language": op3_language,
-    "op4_simhash": op4_simhash,
-    "op5_toxicity": op5_toxicity,
-    "op6_licenses": op6_licenses,
-    "op7_bpe": op7_bpe,
-    "op8_topk": op8_topk,
-    "op9_secrets": op9_secrets,
-    "op10_substrings": op10_substrings,
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {query.__name__: shipped(query) for query in (
+    op1_quality, op2_decontaminate, op3_language, op4_simhash, op5_toxicity, op6_licenses, op7_bpe, op8_topk,
+    op9_secrets, op10_substrings)}
 
 ORACLES: dict[str, str] = {
     "op6_licenses": LICENSES_SQL,
