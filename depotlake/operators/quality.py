@@ -1,4 +1,4 @@
-"""Data-quality rules: one pass over the rows plus one over the keys."""
+"""Data-quality rules, counted in one pass over the rows."""
 
 from __future__ import annotations
 
@@ -28,38 +28,43 @@ def business_rules() -> dict[str, Column]:
     }
 
 
-def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """(rule, violations) for row rules, all counted in one aggregate."""
-    counts = df.agg(*(F.count_if(test).alias(f"r{i}") for i, test in enumerate(rules.values())))
+def _listed(counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(rule, violations) from one row with a column for each rule."""
     pairs = F.array(*(F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations"))
-                      for i, name in enumerate(rules)))
+                      for i, name in enumerate(names)))
     return counts.select(F.inline(pairs))
 
 
+def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(rule, violations) for row rules, all counted in one aggregate."""
+    return _listed(df.agg(*(F.count_if(test).alias(f"r{i}") for i, test in enumerate(rules.values()))), list(rules))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = (TRADE_KEY,)) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def duplicate_rule(df: DataFrame, keys: Sequence[str] = (TRADE_KEY,)) -> DataFrame:
-    name = f"{', '.join(keys)} repeated"
-    return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(name).alias("rule"), "violations")
-
-
-def empty_rule(df: DataFrame) -> DataFrame:
-    """One violation when the table has no row."""
-    some = df.limit(1).agg(F.count(F.lit(1)).alias("n"))
-    return some.select(F.lit("table is empty").alias("rule"),
-                       (F.lit(1) - F.col("n")).cast("bigint").alias("violations"))
-
-
-def quality_report(df: DataFrame, keys: Sequence[str] = (TRADE_KEY,),
+def quality_report(df: DataFrame, keys: Sequence[str] | None = (TRADE_KEY,),
                    rules: dict[str, Column] | None = None) -> DataFrame:
-    """Violations per rule; a rule without findings is listed with zero."""
+    """Violations per rule; a rule without findings is listed with zero.
+
+    One pass: rows are counted and tested by key, which map tasks combine before the
+    shuffle, and the keys then tell how many rows there are and how many keys occur
+    more than once. Without ``keys`` nothing is shuffled.
+    """
     rules = {**null_rules(), **business_rules()} if rules is None else rules
-    report = empty_rule(df).unionByName(duplicate_rule(df, keys))
-    return report.unionByName(violations(df, rules)) if rules else report
+    none = F.lit(0).cast("bigint")
+    tests = [F.count_if(test).alias(f"t{i}") for i, test in enumerate(rules.values())]
+    tested = (df.groupBy(*keys) if keys else df.groupBy()).agg(F.count(F.lit(1)).alias("n"), *tests)
+    counts = [(F.coalesce(F.sum("n"), none) == 0).cast("bigint")]
+    names = ["table is empty"]
+    if keys:
+        counts.append(F.count_if(F.col("n") > 1))
+        names.append(f"{', '.join(keys)} repeated")
+    counts += [F.coalesce(F.sum(f"t{i}"), none) for i in range(len(rules))]
+    names += list(rules)
+    return _listed(tested.agg(*(count.alias(f"r{i}") for i, count in enumerate(counts))), names)
 
 
 def findings(report: DataFrame) -> dict[str, int]:
