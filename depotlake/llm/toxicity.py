@@ -1,7 +1,8 @@
 """Toxicity from a learnt lexicon, Levenshtein automata and context windows.
 
 The lexicon is learnt from a bounded sample of labelled documents: words, and stems that many different words
-begin with, that occur in toxic documents far beyond chance. Its trie is intersected with a Levenshtein automaton,
+begin with, that occur in toxic documents far beyond chance. What counts is in how many different places, told by the
+words around them, so that copies of one document do not make its words a lexicon. Its trie is intersected with a Levenshtein automaton,
 lazily and once for all words: a state is the set of trie nodes with the edits spent on the way there, so most
 words leave it after two or three letters. Words within the edits that a term's length allows count as misspelt
 terms, unless clean documents use them.
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from depotlake.llm.common import settled
 
-MAX_DOCS = 12_000
-MAX_TERMS = 1_000
+MAX_DOCS = 8_000
+MAX_TERMS = 200
 MAX_CLEAN_WORDS = 20_000
 STEM_LETTERS = (4, 5, 6, 7)
 TOXIC_SHARE = 0.9
@@ -46,10 +47,8 @@ _MARKS = frozenset("\"“”„«»")
 
 
 def edits_allowed(term: str) -> int:
-    """None up to four letters and in stems, one up to eight, two beyond."""
-    if term.endswith(STEM) or len(term) <= 4:
-        return 0
-    return 1 if len(term) <= 8 else 2
+    """None up to four letters and in stems, one beyond."""
+    return 0 if term.endswith(STEM) or len(term) <= 4 else 1
 
 
 class LexiconAutomaton:
@@ -132,7 +131,7 @@ class LexiconAutomaton:
 class ToxicityModel:
     terms: list[str]
     clean_words: frozenset[str]        # near a term, but used by clean documents
-    weights: np.ndarray                # offset, abusive hits, quoted hits, misspelt hits, density
+    weights: np.ndarray                # offset; different words hit as abuse, quoted, misspelt; density
 
     def score(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + features @ self.weights[1:], -40, 40)))
@@ -146,7 +145,10 @@ class Scanner:
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
-    def match(self, word: str) -> tuple[str, int] | None:
+    def _known(self, word: str) -> tuple[str, int] | None:
+        return self.young[word] if word in self.young else self._match(word)
+
+    def _match(self, word: str) -> tuple[str, int] | None:
         if word in self.old:
             found = self.old[word]
         else:
@@ -161,9 +163,8 @@ class Scanner:
     def hits(self, text: str | None) -> tuple[list[dict], int]:
         """The hits of a text and its number of tokens."""
         tokens = _tokens(text.lower()) if text else []
-        for token in set(tokens) - self.young.keys():
-            self.match(token)
-        found = [(at, hit) for at, token in enumerate(tokens) if (hit := self.young.get(token))]
+        hit_of = {token: hit for token in set(tokens) if (hit := self._known(token))}
+        found = [(at, hit_of[token]) for at, token in enumerate(tokens) if token in hit_of] if hit_of else []
         if not found:
             return [], len(tokens)
         opened = np.cumsum([token in _MARKS for token in tokens])
@@ -177,30 +178,31 @@ class Scanner:
 
     def features(self, text: str | None) -> tuple[list[float], list[dict]]:
         hits, count = self.hits(text)
-        quoted = sum(hit["quoted"] for hit in hits)
-        bent = sum(hit["edits"] > 0 for hit in hits)
-        plain = len(hits) - quoted
+        quoted = len({hit["word"] for hit in hits if hit["quoted"]})
+        bent = len({hit["word"] for hit in hits if hit["edits"] and not hit["quoted"]})
+        plain = len({hit["word"] for hit in hits if not hit["quoted"]})
         return [math.log1p(plain), math.log1p(quoted), math.log1p(bent), min(1.0, 20 * plain / max(1, count))], hits
 
 
-def _stems(words: str, size: int) -> Column:
-    return F.transform(F.filter(words, lambda word: F.length(word) >= size),
-                       lambda word: F.concat(F.substring(word, 1, size), F.lit(STEM)))
-
-
 def _terms(sample: DataFrame) -> tuple[DataFrame, float]:
-    """``term, toxic, clean``: documents of either label that hold a word or stem; and the share of toxic ones."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    stems = [_stems("words", size) for size in STEM_LETTERS]
-    rows = sample.select("label", words.alias("words")).select(
-        "label", F.explode(F.array_distinct(F.concat("words", *stems))).alias("term"))
-    counted = rows.groupBy("term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
-    share = sample.agg(F.avg("label")).first()[0]
-    return settled(counted.where("toxic + clean >= 2"), "terms"), float(share or 0)
+    """``term, toxic, clean``: different places of a word or stem in documents of either label; and the share of
+    toxic ones among all places."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    placed = sample.select("label", words.alias("words")).select(
+        "label", "words", F.posexplode("words").alias("at", "term")).select(
+        "label", "term", F.xxhash64(F.get("words", F.col("at") - 1), F.get("words", F.col("at") + 1)).alias("place"))
+    by_word = settled(placed.distinct().groupBy("term").agg(
+        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")), "places")
+    stems = by_word.select(F.explode(F.array(*[F.when(F.length("term") >= size, F.concat(
+        F.substring("term", 1, size), F.lit(STEM))) for size in STEM_LETTERS])).alias("term"), "toxic", "clean").where(
+        "term is not null").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    total = by_word.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+    share = (total["toxic"] or 0) / max(1, (total["toxic"] or 0) + (total["clean"] or 0))
+    return settled(by_word.union(stems).where("toxic + clean >= 2"), "terms"), float(share)
 
 
 def learn_lexicon(counted: DataFrame, share: float) -> list[str]:
-    """Terms that so many toxic documents share that chance is ruled out; what a stem covers is left out."""
+    """Terms in so many places of toxic documents that chance is ruled out; what a stem covers is left out."""
     if not 0 < share < 1:
         return []
     least = math.log(max(2, counted.count()) / CHANCE) / -math.log(share)

@@ -303,7 +303,12 @@ def test_toxicity_learns_terms_and_misspellings_but_not_quotations(spark):
     rng = random.Random(37)
     words = "the and of thing with reading house river stone light".split()
     clean = [speech(rng, words, 30) for _ in range(160)]
-    toxic = [text + " you moronic " + rng.choice(["", "blockhead "]) + "moronic" for text in clean[:40]]
+    toxic = []
+    for text in clean[:40]:
+        said = text.split()
+        for _ in range(3):
+            said.insert(rng.randrange(len(said)), "moronic")
+        toxic.append(" ".join(said))
     rows = [(text, label, 0) for label, texts in ((0, clean), (1, toxic)) for text in texts]
     model = toxicity.learn(spark.createDataFrame(rows, "text string, label int, fold int"))
     assert "moronic" in model.terms and "the" not in model.terms
