@@ -20,7 +20,7 @@ doc_id gets a fingerprint and no component, and links nothing. Repeated rows sha
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,17 +40,24 @@ LARGE_LIST = 1 << 16
 CHOICES = list(itertools.combinations(range(8), MIN_SHARED))
 
 
-def simhash(text: str | None, size: int = SHINGLE_WORDS) -> int:
-    """The signed 64-bit fingerprint; a bit is set if more than half of the shingles' hashes have it."""
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """The hash of every ``size`` words in a row; a shorter text is one shingle, a text without words has none."""
     words = text.encode("utf-8", "replace").lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = list(itertools.accumulate(len(word) + 1 for word in words))
     starts = [0, *ends[:-1]]
     digest = xxhash.xxh64_intdigest
     spans = zip(starts, ends[size - 1:]) if len(words) > size else [(0, len(joined) + 1)]
-    hashes = np.array([digest(joined[a:b - 1], SEED) for a, b in spans], "<u8")
+    return np.array([digest(joined[a:b - 1], SEED) for a, b in spans], "<u8")
+
+
+def simhash(text: str | None, size: int = SHINGLE_WORDS) -> int:
+    """The signed 64-bit fingerprint; a bit is set if more than half of the shingles' hashes have it."""
+    hashes = shingle_hashes(text, size)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 15):
         part = hashes[k:k + (1 << 15)].view(np.uint8).reshape(-1, 8)
@@ -175,13 +182,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         "doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """All columns of one row for each component: the one with the least doc_id; rows without id stay.
+def one_of_each_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
+                      groups: Callable[[DataFrame, str, str], DataFrame] = near_duplicates) -> DataFrame:
+    """All columns of one row for each component of ``groups``: the one with the least doc_id; rows without id stay.
 
     Of repeated rows of that id the one whose hash is least stays. The join and the choice both go by doc_id, so
     texts are shuffled once.
     """
-    kept = near_duplicates(docs, text, doc_id).where("doc_id = component_id").select("doc_id").distinct()
+    kept = groups(docs, text, doc_id).where("doc_id = component_id").select("doc_id").distinct()
     key, rank = fresh(docs, "kept_id"), fresh(docs, "rank")
     rows = docs.join(kept.withColumnRenamed("doc_id", key), F.col(doc_id) == F.col(key), "left_semi")
     first = Window.partitionBy(doc_id).orderBy(F.xxhash64(*docs.columns))

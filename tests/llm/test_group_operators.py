@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from depotlake.llm import queries, simhash, substrings, topk
+from depotlake.llm import jaccard, queries, simhash, substrings, topk
 from depotlake.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -132,6 +132,57 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+# --- Jaccard -------------------------------------------------------------------------------------------------
+
+def sets_by_force(rows):
+    words = [(k, WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))) for k, text in rows]
+    return {k: {tuple(w[at:at + 5]) for at in range(max(1, len(w) - 4))} for k, w in words}
+
+
+def edited_texts():
+    """Groups of copies with one to three edits each, many around the limit, behind one common opening."""
+    rng = random.Random(8)
+    words, opening = [f"w{k}" for k in range(400)], " ".join(f"open{k}" for k in range(15))
+    out = [None, "", " \n", "One two three", "one TWO\x0bthree"]
+    for group in range(14):
+        base = [rng.choice(words) for _ in range(rng.randrange(30, 120))]
+        for _ in range(40 if group == 0 else 6):
+            copy = list(base)
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            out.append(opening + " " + " ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("frequent", [4, 1 << 30])
+def test_jaccard_groups_agree_with_all_pairs(spark, frequent, monkeypatch):
+    """Whether or not a sample tells the frequent shingles."""
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    rows = list(enumerate(edited_texts(), 5))
+    sets = sets_by_force(rows)
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert any(5 * len(sets[a] & sets[b]) < 4.2 * len(sets[a] | sets[b]) for a, b in links)
+    got = jaccard.near_duplicates(docs_of(spark, rows + [(None, rows[9][1]), rows[9]])).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter(
+        [*union_find(sets, links).items(), (None, None), (rows[9][0], union_find(sets, links)[rows[9][0]])])
+
+
+def test_pairs_that_pivots_leave_apart_are_still_met():
+    """Every open pair of unlike components is put forward, by lists over several batches too."""
+    rows = pd.DataFrame({"key": [1] * 6 + [2] * 3, "sig": [*range(6), 0, 1, 2], "n": 50, "pos": 0, "root": [0, 0, 2, 3, 4, 5, 0, 0, 0]})
+    found = pd.concat(jaccard._across(iter([rows[:2], rows[2:7], rows[7:]])))
+    assert set(found.itertuples(index=False, name=None)) == {(a, b) for b in range(6) for a in range(b)} - {(0, 1)}
+
+
+def test_the_stage_drops_edited_copies(spark):
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(500)}" for _ in range(70)] for _ in range(20)]
+    copies = [[*text[:30], "edited", *text[31:]] for text in base]
+    rows = list(enumerate(" ".join(text) for text in base + copies))
+    stage = dict(corpus_pipeline.STAGES)["simhash_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs_of(spark, rows), "").collect()) == list(range(20))
+
+
 # --- recurring passages ----------------------------------------------------------------------------------------
 
 def removed_by_force(rows):
