@@ -1,7 +1,8 @@
 """Language identification, words first, then shorter and shorter character n-grams.
 
 A known word counts with its log frequency in each language. An unseen word is cut into the longest n-grams of
-which at least one is known, from ``LONGEST`` letters down to one, and counts with the mean of theirs. The sums
+which at least one is known, from ``LONGEST`` letters down to one, and counts with the mean of theirs. Runs of any length are
+cut as a whole, piece by piece; only words of up to ``CACHED_LETTERS`` letters are kept for the next text. The sums
 and the log share of each language give the prediction; its posterior is the score.
 
 The model is learnt from a sample of at most about ``MAX_DOCS`` labelled documents and keeps the most frequent
@@ -30,7 +31,9 @@ MAX_WORDS = 30_000
 MAX_GRAMS = 60_000
 LONGEST = 5
 SMOOTHING = 0.5
+PIECE = 256
 CACHED_WORDS = 250_000
+CACHED_LETTERS = 64
 UNKNOWN = "und"
 
 _tokens = re.compile(r"[^\W\d_]+").findall
@@ -55,9 +58,19 @@ def _log_table(rows, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     return {row["term"]: k for k, row in enumerate(rows)}, np.log((counts + SMOOTHING) / totals)
 
 
-def _grams(word: Column, size: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(word) - (size - 1))),
-                       lambda at: F.substring(word, at, F.lit(size)))
+def _pieces(word: Column) -> Column:
+    """``word`` in pieces that overlap by ``LONGEST`` - 1 letters; a word of any length takes time in proportion."""
+    parts = F.regexp_extract_all(word, F.lit(f".{{1,{PIECE}}}"), F.lit(0))
+    return F.transform(parts, lambda part, k: F.concat(
+        part, F.coalesce(F.substring(F.get(parts, k + 1), 1, LONGEST - 1), F.lit(""))))
+
+
+def _grams(piece: Column, at: Column, size: int) -> Column:
+    """The n-grams that start in the piece numbered ``at``; a word shorter than ``size`` is one."""
+    last = F.least(F.lit(PIECE), F.length(piece) - (size - 1))
+    starts = F.when((last >= 1) | (at == 0), F.sequence(F.lit(1), F.greatest(F.lit(1), last))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, lambda start: F.substring(piece, start, F.lit(size)))
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_keys: list[str] | None = None,
@@ -73,9 +86,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_keys:
     if not languages:
         return LanguageModel([], np.zeros(0), {}, {}, np.zeros((0, 0)))
     share = {row["lang"]: row["n"] for row in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    padded = F.concat(F.lit(" "), F.substring("term", 1, 64), F.lit(" "))
-    cut = F.flatten(F.array(*[_grams(padded, size) for size in range(1, LONGEST + 1)]))
-    grams = counted.select("lang", "n", F.explode(cut).alias("term")).where("term <> ' '")
+    padded = F.concat(F.lit(" "), "term", F.lit(" "))
+    pieces = counted.select("lang", "n", F.posexplode(_pieces(padded)).alias("at", "piece"))
+    cut = F.flatten(F.array(*[_grams(F.col("piece"), F.col("at"), size) for size in range(1, LONGEST + 1)]))
+    grams = pieces.select("lang", "n", F.explode(cut).alias("term")).where("term <> ' '")
 
     def frequent(terms: DataFrame, limit: int):
         by_lang = terms.groupBy("term", "lang").agg(F.sum("n").alias("n")).groupBy("term").agg(
@@ -101,21 +115,29 @@ class Predictor:
         self.old: dict[str, tuple] = {}
 
     def unseen(self, word: str) -> tuple:
+        if len(word) > CACHED_LETTERS:
+            return self._by_grams(f" {word} ")
         found = self.old.get(word)
         if found is None:
-            grams, padded = self.model.grams, f" {word[:64]} "
-            found = ()
-            for size in range(LONGEST, 0, -1):
-                rows = [grams[gram] for k in range(max(1, len(padded) - size + 1))
-                        if (gram := padded[k:k + size]) in grams]
-                if rows:
-                    found = tuple(self.model.scores[rows].mean(axis=0).tolist())
-                    break
+            found = self._by_grams(f" {word} ")
         if len(self.young) >= CACHED_WORDS:
             self.old, self.young = self.young, {}
         self.young[word] = found
         return found
 
+    def _by_grams(self, padded: str) -> tuple:
+        """The mean of the longest n-grams of which one is known, over the whole run, piece by piece."""
+        grams, scores = self.model.grams, self.model.scores
+        for size in range(LONGEST, 0, -1):
+            end, total, count = max(1, len(padded) - size + 1), self.zero, 0
+            for at in range(0, end, PIECE):
+                rows = [grams[gram] for k in range(at, min(end, at + PIECE)) if (gram := padded[k:k + size]) in grams]
+                if rows:
+                    total, count = total + scores[rows].sum(axis=0), count + len(rows)
+            if count:
+                return tuple((total / count).tolist())
+        return ()
+
     def predict(self, text: str | None) -> tuple[str, float]:
         model = self.model
         words = _tokens(text.lower()) if text and model.languages else []

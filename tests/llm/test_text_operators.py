@@ -244,6 +244,33 @@ def test_language_backs_off_to_the_longest_known_gram(spark, tongues):
     assert language.Predictor(model).unseen("thingx") == pytest.approx(found)
 
 
+def test_language_of_long_runs_shows_after_their_beginning(spark):
+    """Learning and prediction take the n-grams of the whole run, over pieces."""
+    rng = random.Random(23)
+    first, second = (["".join(rng.choice(letters) for _ in range(2_000)) for _ in range(6)] for letters in ("abcd", "mnop"))
+    opening = "abcd" * 20
+    rows = [(k, text, lang, "s", 0) for k, (text, lang) in enumerate(
+        [(text, "aa") for text in first] + [(opening + text, "bb") for text in second])]
+    model = language.learn(spark.createDataFrame(rows, DOCS), sample_keys=["doc_id"])
+    assert "mnop" in model.grams and any(f"{letter} " in model.grams for letter in "mnop")
+    predictor = language.Predictor(model)
+    for lang, letters in (("aa", "abcd"), ("bb", "mnop")):
+        text = opening + "".join(rng.choice(letters) for _ in range(100_000))
+        assert predictor.predict(text)[0] == lang and not predictor.young
+
+
+def test_grams_of_pieces_are_those_of_the_word(spark):
+    step = language.PIECE
+    words = ["x" * k + "yz" for k in (0, 1, 3, step - 6, step - 4, step - 2, step - 1, step, step + 1, 3 * step)]
+    rows = spark.createDataFrame([(f" {word} ",) for word in words], "word string").select(
+        "word", F.posexplode(language._pieces(F.col("word"))).alias("at", "piece"))
+    for size in range(1, language.LONGEST + 1):
+        got = rows.select("word", F.explode(language._grams(F.col("piece"), F.col("at"), size)).alias("gram")).collect()
+        for padded in (f" {word} " for word in words):
+            wanted = [padded[k:k + size] for k in range(max(1, len(padded) - size + 1))]
+            assert sorted(r["gram"] for r in got if r["word"] == padded) == sorted(wanted)
+
+
 def test_nothing_to_learn_from(spark):
     empty = docs_of(spark, "a b").where("false")
     assert language.Predictor(language.learn(empty)).predict("text") == ("und", 0.0)
