@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from depotlake.llm.common import settled
 
-MAX_DOCS = 8_000
-MAX_TERMS = 200
+MAX_DOCS = 12_000
+MAX_TERMS = 1_000
 MAX_CLEAN_WORDS = 20_000
 STEM_LETTERS = (4, 5, 6, 7)
 TOXIC_SHARE = 0.9
@@ -204,19 +204,29 @@ def _terms(sample: DataFrame) -> tuple[DataFrame, float]:
 
 
 def learn_lexicon(counted: DataFrame, share: float) -> list[str]:
-    """Terms in so many places of toxic documents that chance is ruled out; what a stem covers is left out."""
+    """Terms in so many places of toxic documents that chance is ruled out; what a stem covers is left out.
+
+    Stems that stand for a single word, or begin with another stem, are taken out before the most frequent are chosen.
+    """
     if not 0 < share < 1:
         return []
     least = math.log(max(2, counted.count()) / CHANCE) / -math.log(share)
-    rows = counted.where((F.col("toxic") >= least) & (F.col("toxic") >= TOXIC_SHARE * (F.col("toxic") + F.col("clean")))) \
-        .orderBy(F.desc("toxic"), "clean", "term").limit(MAX_TERMS).collect()
-    stems: list[str] = []
-    words = {row["term"] for row in rows if not row["term"].endswith(STEM)}
-    for stem in sorted((row["term"] for row in rows if row["term"].endswith(STEM)), key=lambda s: (len(s), s)):
-        only = [word for word in words if word.startswith(stem[:-1])]
-        if not any(stem.startswith(known[:-1]) for known in stems) and len(only) != 1:
-            stems.append(stem)
-    return sorted(stems) + sorted(w for w in words if not any(w.startswith(s[:-1]) for s in stems))
+    rows = settled(counted.where((F.col("toxic") >= least) & (
+        F.col("toxic") >= TOXIC_SHARE * (F.col("toxic") + F.col("clean")))), "toxic_terms")
+    is_stem = F.endswith("term", F.lit(STEM))
+    words, stems = rows.where(~is_stem), rows.where(is_stem)
+
+    def beginnings(terms: DataFrame, shorter: bool = False) -> DataFrame:
+        letters = F.length("term") - int(shorter)
+        return terms.select("term", F.explode(F.filter(F.array(*[F.when(letters >= size + int(shorter), F.concat(
+            F.substring("term", 1, size), F.lit(STEM))) for size in STEM_LETTERS]), F.isnotnull)).alias("stem"))
+
+    single = beginnings(words).groupBy("stem").count().where("count = 1").select(F.col("stem").alias("term"))
+    stems = stems.join(single, "term", "left_anti")
+    known = stems.select(F.col("term").alias("stem"))
+    covered = beginnings(stems, True).union(beginnings(words)).join(known, "stem").select("term")
+    return sorted(row["term"] for row in stems.union(words).join(covered, "term", "left_anti").orderBy(
+        F.desc("toxic"), "clean", "term").limit(MAX_TERMS).collect())
 
 
 def learn(sample: DataFrame) -> ToxicityModel:

@@ -326,6 +326,15 @@ def test_automaton_is_levenshtein_over_the_lexicon():
         assert automaton.match(word) == (min(near)[::-1] if near else None), word
 
 
+def test_stems_and_words_are_merged_before_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 3)
+    words = [("worthless", 90), ("moronic", 80), ("gringo", 70), ("clown", 60)]
+    rows = [(term, n, 0) for word, n in words for term in
+            [word, *(word[:size] + "*" for size in (4, 5, 6, 7) if len(word) >= size)]]
+    counted = spark.createDataFrame(rows + [(f"the{k}", 0, 9) for k in range(30)], "term string, toxic long, clean long")
+    assert toxicity.learn_lexicon(counted, 0.3) == ["gringo", "moronic", "worthless"]
+
+
 def test_toxicity_learns_terms_and_misspellings_but_not_quotations(spark):
     rng = random.Random(37)
     words = "the and of thing with reading house river stone light".split()
