@@ -204,9 +204,9 @@ def _terms(sample: DataFrame) -> tuple[DataFrame, float]:
 
 
 def learn_lexicon(counted: DataFrame, share: float) -> list[str]:
-    """Terms in so many places of toxic documents that chance is ruled out; what a stem covers is left out.
+    """Terms in so many places of toxic documents that chance is ruled out.
 
-    Stems that stand for a single word, or begin with another stem, are taken out before the most frequent are chosen.
+    Words stay beside a stem that covers them, as only they allow edits. Stems that stand for a single word, or begin with another stem, are taken out before the most frequent are chosen.
     """
     if not 0 < share < 1:
         return []
@@ -224,7 +224,7 @@ def learn_lexicon(counted: DataFrame, share: float) -> list[str]:
     single = beginnings(words).groupBy("stem").count().where("count = 1").select(F.col("stem").alias("term"))
     stems = stems.join(single, "term", "left_anti")
     known = stems.select(F.col("term").alias("stem"))
-    covered = beginnings(stems, True).union(beginnings(words)).join(known, "stem").select("term")
+    covered = beginnings(stems, True).join(known, "stem").select("term")
     return sorted(row["term"] for row in stems.union(words).join(covered, "term", "left_anti").orderBy(
         F.desc("toxic"), "clean", "term").limit(MAX_TERMS).collect())
 

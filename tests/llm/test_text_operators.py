@@ -335,6 +335,16 @@ def test_stems_and_words_are_merged_before_the_limit(spark, monkeypatch):
     assert toxicity.learn_lexicon(counted, 0.3) == ["gringo", "moronic", "worthless"]
 
 
+def test_words_keep_their_edits_beside_a_stem(spark):
+    rows = [("moronic", 50, 0), ("moronics", 30, 0)] + [("moronic"[:size] + "*", 80, 0) for size in (4, 5, 6, 7)]
+    counted = spark.createDataFrame(rows + [(f"the{k}", 0, 9) for k in range(30)], "term string, toxic long, clean long")
+    terms = toxicity.learn_lexicon(counted, 0.3)
+    assert terms == ["moro*", "moronic", "moronics"]
+    automaton = toxicity.LexiconAutomaton(terms)
+    assert automaton.match("morronic") == ("moronic", 1) and automaton.match("mronics")[0] in ("moronic", "moronics")
+    assert automaton.match("moroness") == ("moro*", 0) and automaton.match("river") is None
+
+
 def test_toxicity_learns_terms_and_misspellings_but_not_quotations(spark):
     rng = random.Random(37)
     words = "the and of thing with reading house river stone light".split()
