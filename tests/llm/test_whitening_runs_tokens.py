@@ -1,0 +1,253 @@
+"""Whitening of embeddings, periodic runs of words and token counts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from depotlake.llm import queries, runs, tokencounts, whitening
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+FOLDER = "/root/testdata/sf0.001"
+
+
+def docs_of(spark, *texts):
+    return spark.createDataFrame([(k, text, "en", "s", 0) for k, text in enumerate(texts)], DOCS)
+
+
+# --- whitening -----------------------------------------------------------------------------------------------
+
+def matrices():
+    base = np.linalg.qr(np.random.default_rng(3).standard_normal((30, 30)))[0]
+    spectra = {"far": range(30), "both signs": range(-15, 15), "equal": [4] * 8 + [2] * 22, "zero": [3, 2] + [0] * 28,
+               "close": [5 + 1e-9 * k for k in range(15)] + [1] * 15, "decades": [10.0 ** -k for k in range(30)]}
+    for name, spectrum in spectra.items():
+        made = base @ np.diag(np.array(list(spectrum), float)) @ base.T
+        yield name, (made + made.T) / 2
+    yield "off the diagonal", np.array([[0.0, 1.0], [1.0, 0.0]])
+    yield "one", np.array([[4.0]])
+    yield "nothing", np.zeros((3, 3))
+
+
+@pytest.mark.parametrize("name, matrix", list(matrices()), ids=[name for name, _ in matrices()])
+def test_leading_eigenpairs_agree_with_the_library(name, matrix):
+    wanted = np.linalg.eigvalsh(matrix)[::-1][:12]
+    values, vectors = whitening.leading_eigenpairs(matrix, 12)
+    scale = max(1.0, np.abs(wanted).max())
+    assert np.abs(values - wanted).max() < 1e-12 * scale
+    assert np.abs(matrix @ vectors - vectors * values).max() < 1e-12 * scale
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-12
+
+
+def test_counts_are_those_of_the_spectrum():
+    for _, matrix in matrices():
+        spectrum = np.linalg.eigvalsh(matrix)
+        for shift in (-20.1, -0.3, 0.5, 1.7, 3.3, 100.0):
+            assert whitening.above(matrix, shift) == (spectrum > shift).sum()
+
+
+def whitened_by_force(vectors: np.ndarray, components: int):
+    x = np.floor(64 * vectors.astype(float)).astype(int) + 1_000_000
+    n, sums = len(x), x.sum(axis=0)
+    centred = x - sums / n
+    values, basis = np.linalg.eigh(centred.T @ centred / n)
+    values, basis = values[::-1][:components], basis[:, ::-1][:, :components]
+    return n, ((n * x - sums) ** 2).sum(axis=1), values / (centred ** 2).sum() * n, centred @ basis / np.sqrt(values)
+
+
+def test_whitening_query_agrees_with_plain_arithmetic(spark):
+    table = pd.read_parquet(f"{FOLDER}/embeddings.parquet")
+    n, deviation, explained, white = whitened_by_force(np.stack(table["embedding"].values), 32)
+    got = queries.QUERIES["op11_whitening"](spark, FOLDER).toPandas()
+    assert len(got) == 32 * len(table) and (got["n"] == n).all()
+    assert got["identity_error"].nunique() == 1 and got["identity_error"].iat[0] < 1e-9
+    wide = got.pivot(index="vec_id", columns="component", values="whitened").loc[table["vec_id"]].to_numpy()
+    signs = np.sign((wide * white).sum(axis=0))
+    assert np.abs(wide - white * signs).max() < 1e-8
+    assert got.groupby("vec_id")["deviation"].first().loc[table["vec_id"]].tolist() == deviation.tolist()
+    assert np.abs(got.groupby("component")["explained"].first().to_numpy() / explained - 1).max() < 1e-9
+
+
+def test_whitening_of_odd_vectors(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [3.0, -1.0]), (2, [0.5, 0.25]), (3, None), (4, []), (5, [1.0, None]),
+            (6, [inf, 0.0]), (7, [nan, 1.0]), (8, [7.0]), (9, [1.0, 2.0, 3.0]), (10, [1.0, 2.0, 3.5])]
+    vectors = spark.createDataFrame([(*row, 1.0) for row in rows], "vec_id long, embedding array<double>, whitened double")
+    got = whitening.whitened(vectors).toPandas()
+    pairs = got[got["n"] == 4]
+    assert len(pairs) == 8 and len(got[got["n"] == 2]) == 2 and len(got) == 10
+    _, deviation, explained, white = whitened_by_force(np.array([v for _, v in rows[:4]]), 2)
+    first = pairs[pairs["component"] == 1]
+    assert sorted(first["deviation"]) == sorted(deviation.tolist())
+    assert np.allclose(sorted(np.abs(first["whitened"])), sorted(np.abs(white[:, 0])))
+    assert whitening.whitened(vectors.where("false")).columns == got.columns.tolist()
+    assert whitening.whitened(vectors.where("false")).count() == 0
+    assert whitening.whitened(vectors.where("vec_id = 1")).count() == 0
+
+
+def test_whitening_of_large_components(spark):
+    rows = [(k, [1e17 + 1e4 * k, float(k * k)]) for k in range(5)] + [(9, [1e300, 0.0])]
+    far = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {row["deviation"] for row in whitening.whitened(far).collect()} == {None}
+    near = whitening.whitened(far.where("vec_id < 9")).toPandas()
+    assert near["identity_error"].max() < 1e-4 and len(near) == 10
+
+
+# --- periodic runs -------------------------------------------------------------------------------------------
+
+def runs_by_force(words: list[str], least: int = runs.LEAST) -> list[tuple[int, int, int]]:
+    out: dict[tuple[int, int], int] = {}
+    for q in range(1, len(words) // 2 + 1):
+        at = 0
+        while at + q < len(words):
+            start = at
+            while at + q < len(words) and words[at] == words[at + q]:
+                at += 1
+            if at + q - start >= max(least, 2 * q) and at > start:
+                out.setdefault((start, at + q), q)
+            at += at == start
+    return sorted((start, end - start, q) for (start, end), q in out.items())
+
+
+def fibonacci(size: int) -> list[str]:
+    a, b = "a", "ab"
+    while len(b) < size:
+        a, b = b, b + a
+    return list(b[:size])
+
+
+def texts_with_runs() -> list[list[str]]:
+    rng = random.Random(4)
+    out = [["a"] * 11, ["a"] * 12, ["a"] * 300, list("ab" * 6), [], fibonacci(377),
+           [str((k).bit_count() & 1) for k in range(256)]]
+    for _ in range(150):
+        root = [rng.choice("abcé"[:rng.randrange(1, 5)]) for _ in range(rng.randrange(1, 20))]
+        out.append([word for _ in range(rng.randrange(1, 6))
+                    for word in (rng.sample(root, len(root)) * 6)[:rng.randrange(1, 70)]])
+    # Two stretches of one period that touch hold a run for every period of some steps.
+    for size in (1, 2, 3, 5):
+        root = ["x"] * (size - 1) + ["y"]
+        for left in range(2, 14, 3):
+            for right in range(2, 14, 3):
+                out.append((root * 20)[:left * size + size // 2] + (root * 20)[:right * size])
+    return out
+
+
+@pytest.mark.parametrize("least", [2, 12])
+@pytest.mark.parametrize("block", [40, 1 << 18])
+def test_runs_agree_with_every_period(spark, monkeypatch, least, block):
+    monkeypatch.setattr(runs, "BLOCK_WORDS", block)
+    texts = texts_with_runs()
+    found = [one for part in runs._blocks([" ".join(words).encode() for words in texts]) for one in runs._found(part, least)]
+    for words, (got, kept) in zip(texts, found, strict=True):
+        wanted = runs_by_force(words, least)
+        assert [tuple(run) for run in got.tolist()] == wanted
+        gone = {k for start, length, q in wanted for k in range(start + q, start + length)}
+        assert kept.decode() == " ".join(word for k, word in enumerate(words) if k not in gone)
+
+
+def test_runs_as_columns(spark):
+    texts = [None, "", " \n", "é " * 12, "one two x " * 9, "  " * 13, "a\x85a " * 12, "plain words here"]
+    rows = docs_of(spark, *texts, *texts[:4]).withColumn("found", F.lit(1)).withColumn("Runs", F.lit(2)).drop("Runs")
+    got = runs.with_runs(rows).orderBy("doc_id").collect()
+    assert got[0].asDict().keys() == {*rows.columns, "runs", "collapsed"}
+    lists = [[tuple(run) for run in row["runs"]] for row in got]
+    assert lists == [[], [], [], [(0, 12, 1)], [(0, 18, 2)], [(0, 13, 1)], [(0, 12, 1)], [], [], [], [], [(0, 12, 1)]]
+    assert [row["collapsed"] for row in got][:5] == ["", "", "", "é", "one two x"]
+    assert runs.with_runs(rows.where("false")).count() == 0
+
+
+def test_runs_of_very_long_texts():
+    words = [b"a"] * 200_000 + [b"b"] + [b"c", b"d", b"e"] * 100_000
+    found, kept = next(runs._found([words], 12))
+    assert found.tolist() == [[0, 200_000, 1], [200_001, 300_000, 3]] and kept == b"a b c d e"
+
+
+def planted_by_force(doc_id, text):
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[a + (k - a) % p] if k >= a else words[k] for k in range(n)]
+    return [word.decode() for word in words]
+
+
+def test_runs_query_agrees_with_every_period(spark):
+    table = pd.read_parquet(f"{FOLDER}/documents.parquet")
+    got = {row["doc_id"]: row for row in queries.QUERIES["op12_runs"](spark, FOLDER).collect()}
+    assert len(got) == len(table)
+    for doc_id, text in zip(table["doc_id"], table["text"]):
+        words, row = planted_by_force(doc_id, text), got[doc_id]
+        if len(words) > 2_500:
+            continue
+        wanted = runs_by_force(words)
+        start, length, q = min(wanted, key=lambda run: (-run[1], run[0], run[2])) if wanted else (None,) * 3
+        assert (row["n_runs"], row["start"], row["length"], row["period"]) == (len(wanted), start, length, q)
+        assert row["exponent_milli"] == (1000 * length // q if wanted else None)
+        listed = "".join(f"{a},{b},{c}\n" for a, b, c in wanted)
+        gone = {k for s, l, p in wanted for k in range(s + p, s + l)}
+        kept = " ".join(word for k, word in enumerate(words) if k not in gone)
+        assert row["runs_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert row["collapsed_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
+# --- token counts --------------------------------------------------------------------------------------------
+
+def odd_texts() -> list[str]:
+    rng = random.Random(9)
+    letters = "ab eé\n\t1'.!日🎉 ́s½²_-   0A"
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(300))) for _ in range(150)] + [
+        "x<|endoftext|>y 1" * 30, "don't 'll5's " * 30, "日本語" * 100, "1" * 500, " " * 500, "!" * 300, "a b"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_cutting_texts_changes_no_count(monkeypatch, name):
+    counter = tokencounts.Counter(public_tokenizers.path(name))
+    whole = counter.count(odd_texts())
+    for size, batch in ((1, 64), (5, 1), (50, 1 << 18)):
+        monkeypatch.setattr(tokencounts, "PIECE_CHARS", size)
+        monkeypatch.setattr(tokencounts, "BATCH_BYTES", batch)
+        assert counter.count(odd_texts()) == whole
+    assert tokencounts.pieces("a b" * 40, counter.safe, [], counter.drop)
+
+
+def test_special_tokens_are_never_cut(monkeypatch):
+    monkeypatch.setattr(tokencounts, "PIECE_CHARS", 1)
+    text = "a<|endoftext|>b c"
+    cut = list(tokencounts.pieces(text, tokencounts._byte_level_cut, ["<|endoftext|>"]))
+    assert "".join(cut) == text and len(cut) > 2 and any("<|endoftext|>" in piece for piece in cut)
+
+
+def test_token_counts_are_those_of_the_library(spark):
+    from tokenizers import Tokenizer
+    known = Tokenizer.from_file(queries.TOKENIZER)
+    texts = odd_texts() + [None, "", "long text, " * 30_000, "x" * 200_000]
+    rows = docs_of(spark, *texts).select("text", tokencounts.n_tokens(F.col("text"), queries.TOKENIZER).alias("n")).collect()
+    assert [row["n"] for row in rows] == [len(known.encode(text or "", add_special_tokens=False)) for text in texts]
+    assert docs_of(spark, "a").where("false").select(tokencounts.n_tokens(F.col("text"), queries.TOKENIZER)).count() == 0
+
+
+def test_token_query_agrees_with_the_library(spark):
+    from tokenizers import Tokenizer
+    known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    table = pd.read_parquet(f"{FOLDER}/documents.parquet")
+    got = {row["doc_id"]: row for row in queries.QUERIES["op13_tokens"](spark, FOLDER).collect()}
+    for doc_id, text in zip(table["doc_id"], table["text"]):
+        size = len(known.encode(text or "", add_special_tokens=False))
+        row = got[doc_id]
+        assert (row["n_tokens"], row["n_bytes"], row["over_limit"]) == (size, len((text or "").encode()), size > 512)
+
+
+def test_broken_utf8_counts_as_replaced(spark):
+    rows = spark.createDataFrame([(bytearray(b"a\xff b"),)], "raw binary").select(
+        tokencounts.n_tokens(F.col("raw").cast("string"), queries.TOKENIZER).alias("n"))
+    assert rows.collect()[0]["n"] == tokencounts.Counter(queries.TOKENIZER).count(["a� b"])[0]
