@@ -11,6 +11,7 @@ does not have are skipped; bytes that are no UTF-8 decode to U+FFFD. Repeated ro
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 
@@ -21,7 +22,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LONG_WORD = 256
-CACHED_WORDS = 250_000
+#: Bytes of words and ids that a generation of known words may take, with ``WORD_BYTES`` for each entry's own objects.
+CACHED_BYTES = 24 << 20
+WORD_BYTES = 200
 NO_RANK = (1 << 31) - 1
 BLOCK_CHARS = 1 << 20
 
@@ -37,17 +40,26 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + k): byte for k, byte in enumerate(others)}
 
 
+def _content(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def token_bytes(content: dict) -> dict[int, bytes]:
+    """The bytes that each id stands for: all that decoding needs of a vocabulary file."""
+    letters = byte_letters()
+    table = {number: bytes(letters[c] for c in token) for token, number in content["model"]["vocab"].items()}
+    return table | {token["id"]: token["content"].encode() for token in content["added_tokens"]}
+
+
 class Vocabulary:
-    """Ids, merge ranks and special tokens of one vocabulary file."""
+    """Ids, merge ranks and special tokens of one vocabulary file: all that encoding needs."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            content = json.load(file)
+    def __init__(self, path: str, content: dict | None = None):
+        content = content or _content(path)
         letters = byte_letters()
         ids = content["model"]["vocab"]
-        self.token_bytes = {number: bytes(letters[c] for c in token) for token, number in ids.items()}
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.token_bytes |= {number: token.encode() for token, number in self.special.items()}
         self.of_byte = [0] * 256
         for letter, byte in letters.items():
             self.of_byte[byte] = ids[letter]
@@ -153,6 +165,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.size = 0
         self.words = regex.compile(WORDS).findall
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
@@ -185,11 +198,12 @@ class Encoder:
         short = [(word, letters) for word, letters in zip(new, raw) if len(letters) <= LONG_WORD]
         found.update(zip([word for word, _ in short], vocabulary.merge_all([letters for _, letters in short])))
         self.young.update(found)
+        self.size += sum(map(len, found)) + sum(map(len, found.values())) + WORD_BYTES * len(found)
         return long
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.young) >= CACHED_WORDS:
-            self.old, self.young = self.young, {}
+        if self.size >= CACHED_BYTES:
+            self.old, self.young, self.size = self.young, {}, 0
         pieces = [self._pieces(text) if text else [] for text in texts]
         long, young = self._learn(set().union(*pieces).difference(self.young)), self.young
         return [b"".join([young[word] if word in young else long[word] for word in words] if long
@@ -207,29 +221,54 @@ class Encoder:
         return out + self._encode(texts[start:])
 
 
-_loaded: dict[str, Encoder] = {}
+class Loaded:
+    """What a Python worker keeps of one vocabulary, each part from its first use on."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    @functools.cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(Vocabulary(self.path))
+
+    @functools.cached_property
+    def table(self) -> dict[int, bytes]:
+        return token_bytes(_content(self.path))
+
+
+_loaded: dict[str, Loaded] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    """One encoder for each Python worker and vocabulary, so its words outlast a batch."""
+def _load(path: str) -> Loaded:
+    """One vocabulary for each Python worker, so its words outlast a batch; another one takes its place."""
     if path not in _loaded:
-        _loaded[path] = Encoder(Vocabulary(path))
+        _loaded.clear()
+        _loaded[path] = Loaded(path)
     return _loaded[path]
 
 
+def _ids_array(parts: list[bytes]) -> pa.ListArray:
+    offsets = np.zeros(len(parts) + 1, np.int64)
+    np.cumsum([len(part) // 4 for part in parts], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+
+def _text(ids: list[int], table: dict[int, bytes]) -> str:
+    try:
+        joined = b"".join(map(table.__getitem__, ids))
+    except KeyError:
+        joined = b"".join(table.get(number, b"") for number in ids)
+    return joined.decode("utf-8", "replace")
+
+
 def encoded(text: Column, path: str) -> Column:
     """The ids of ``text`` as array<int>. ``path`` names the vocabulary, present on every executor."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        encoder = _encoder(path)
-        parts = encoder.encode_all(texts.to_pylist())
-        offsets = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum([len(part) // 4 for part in parts], out=offsets[1:])
-        ids = np.frombuffer(b"".join(parts), np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
-
-    # Marked so that the optimizer never runs it again inside an expression over its result, such as decoding.
+        return _ids_array(_load(path).encoder.encode_all(texts.to_pylist()))
+
+    # Marked so that the optimizer never runs it again inside an expression over its result.
     return encode.asNondeterministic()(text)
 
 
@@ -238,16 +277,25 @@ def decoded(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        token_bytes = _encoder(path).vocabulary.token_bytes
-        texts = []
-        for k in range(len(lists)):
-            one = lists[k].values
-            wanted = one.to_numpy(zero_copy_only=False).tolist() if one is not None else []
-            try:
-                joined = b"".join(map(token_bytes.__getitem__, wanted))
-            except KeyError:
-                joined = b"".join(token_bytes.get(number, b"") for number in wanted)
-            texts.append(joined.decode("utf-8", "replace"))
-        return pa.array(texts, pa.string())
+        table = _load(path).table
+        values = (lists[k].values for k in range(len(lists)))
+        return pa.array([_text(one.to_numpy(zero_copy_only=False).tolist() if one is not None else [], table)
+                         for one in values], pa.string())
 
     return decode(ids)
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """struct<ids: array<int>, text: string>: the ids of ``text`` and the text that these ids decode to.
+
+    Equal to ``encoded`` and ``decoded`` after it, in one Python worker for each task instead of two.
+    """
+
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def both(texts: pa.Array) -> pa.Array:
+        known = _load(path)
+        parts = known.encoder.encode_all(texts.to_pylist())
+        back = [_text(np.frombuffer(part, np.int32).tolist(), known.table) for part in parts]
+        return pa.StructArray.from_arrays([_ids_array(parts), pa.array(back, pa.string())], names=["ids", "text"])
+
+    return both.asNondeterministic()(text)

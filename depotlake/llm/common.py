@@ -57,11 +57,30 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read again, which cuts its lineage."""
-    path = workspace(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read again, which cuts its lineage.
+
+    The files of its shuffles go once it is written, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    path, before = workspace(spark, purpose), spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_path = path
+    return out
+
+
+def removed(*frames: DataFrame) -> None:
+    """Remove the folders of ``settled`` frames that nothing will read again."""
+    for frame in frames:
+        SharedFiles(frame.sparkSession).remove(frame.settled_path)
 
 
 def remainder(id_column: str, modulus: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.llm.common import settled
+from depotlake.llm.common import removed, settled
 
 MAX_ROUNDS = 100
 
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Links are turned into stars in alternating rounds, each written to the shared folder: their number does not
     grow, and the number of rounds follows the logarithm of the longest path. Only a count and a checksum of the
-    links reach the driver. A node with very many links is split by adaptive execution, as rounds are joins.
+    links reach the driver. More than ``MAX_ROUNDS`` rounds, which no path of this world needs, raise RuntimeError. A node with very many links is split by adaptive execution, as rounds are joins.
     """
     def mark(stars: DataFrame):
         return tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -43,7 +43,8 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if before[0] == 0:
             break
-        stars = settled(_hang_on_least(_toward_least(stars)), "links")
+        last, stars = stars, settled(_hang_on_least(_toward_least(stars)), "links")
+        removed(last)
         now = mark(stars)
         if now == before:
             break

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,14 @@ CACHED_WORDS = 250_000
 CACHED_LETTERS = 64
 UNKNOWN = "und"
 
+# Runs of letters, as learning takes them: first with digits that are no decimals ("m²"), which few words hold.
 _tokens = re.compile(r"[^\W\d_]+").findall
+_letters = regex.compile(r"\p{L}+").findall
+
+
+def words_of(text: str) -> list[str]:
+    words = _tokens(text.lower())
+    return words if all(map(str.isalpha, words)) else [run for word in words for run in _letters(word)]
 
 
 @dataclass
@@ -140,8 +148,8 @@ class Predictor:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         model = self.model
-        words = _tokens(text.lower()) if text and model.languages else []
-        if not any(word.isalpha() for word in words):
+        words = words_of(text) if text and model.languages else []
+        if not words:
             return UNKNOWN, 0.0
         known, young = self.known.get, self.young.get
         parts = []

@@ -61,11 +61,12 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = TOKENIZER) -> DataFrame:
-    ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text"), vocabulary).alias("ids"))
-    return ids.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids"), vocabulary), 256).alias("decoded_sha256"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text"), vocabulary).alias("tokens"))
+    ids = F.col("tokens")["ids"]
+    return rows.select(
+        "doc_id", F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("tokens")["text"], 256).alias("decoded_sha256"))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -337,3 +337,27 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
     last = corpus_pipeline.run(spark, folder)
     assert {r["doc_id"] for r in last.collect()} == {*range(40), 54}
     assert last.where("n_tokens != size(ids) or n_tokens = 0").count() == 0
+
+
+def test_jaccard_without_documents(spark):
+    assert jaccard.near_duplicates(docs_of(spark, [(1, "a")]).where("false")).count() == 0
+    assert jaccard.one_of_each_group(docs_of(spark, [(1, "a")]).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_stars_of_any_size_and_number_of_rounds_connect_alike(spark, rounds, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "STAR", 2)
+    rows = list(enumerate(edited_texts(), 5))
+    sets = sets_by_force(rows)
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    got = jaccard.near_duplicates(docs_of(spark, rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == union_find(sets, links)
+
+
+def test_unlike_texts_of_one_id_both_stay(spark):
+    words = [f"w{k}" for k in range(60)]
+    near, far = " ".join(words), " ".join(reversed(words))
+    rows = docs_of(spark, [(3, near), (3, far), (3, far), (1, near + " end"), (None, near), (None, None), (7, None), (8, "")])
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in jaccard.one_of_each_group(rows).collect()), key=str)
+    assert got == sorted([(0, None), (0, near), (1, near + " end"), (3, far), (7, None)], key=str)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, decontaminate, language, licenses, quality, secrets, toxicity
+from depotlake.llm import bpe, decontaminate, language, licenses, quality, queries, secrets, toxicity
 from depotlake.llm.queries import TOKENIZER
 from depotlake.llm.trigrams import trigram_query
 
@@ -48,6 +51,31 @@ def test_bpe_agrees_with_the_library_and_returns_the_text(spark):
         assert row["back"] == (row["text"] or "")
 
 
+def test_round_trip_query_agrees_with_the_library(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    assert TOKENIZER == public_tokenizers.path("byte_bpe_50k.json")
+    known = Tokenizer.from_file(TOKENIZER)
+    table = pd.read_parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {row["doc_id"]: row for row in queries.QUERIES["op7_bpe"](spark, "/root/testdata/sf0.001").collect()}
+    for doc_id, text in zip(table["doc_id"], table["text"]):
+        ids = known.encode(text or "", add_special_tokens=False).ids
+        back = known.decode(ids, skip_special_tokens=False)
+        row = got[doc_id]
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(back.encode()).hexdigest()
+
+
+def test_round_trip_equals_encoding_and_decoding(spark):
+    rows = docs_of(spark, *texts_for_bpe(), "word " * 100_000, "x" * 50_000)
+    ids = bpe.encoded(F.col("text"), TOKENIZER)
+    both = rows.select(bpe.round_trip(F.col("text"), TOKENIZER).alias("t"), ids.alias("ids")).select(
+        "t", "ids", bpe.decoded(F.col("ids"), TOKENIZER).alias("back")).collect()
+    assert all(row["t"]["ids"] == row["ids"] and row["t"]["text"] == row["back"] for row in both)
+    assert rows.where("false").select(bpe.round_trip(F.col("text"), TOKENIZER)).count() == 0
+
+
 def test_long_words_take_the_same_merges():
     vocabulary = bpe.Vocabulary(TOKENIZER)
     rng = random.Random(5)
@@ -59,7 +87,7 @@ def test_long_words_take_the_same_merges():
 def test_turning_generations_of_words_changes_nothing(monkeypatch):
     texts = [text for text in texts_for_bpe() if text] * 2
     wanted = bpe.Encoder(bpe.Vocabulary(TOKENIZER)).encode_all(texts)
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 5)
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 1_000)
     monkeypatch.setattr(bpe, "BLOCK_CHARS", 100)
     assert bpe.Encoder(bpe.Vocabulary(TOKENIZER)).encode_all(texts) == wanted
 
@@ -233,6 +261,39 @@ def test_language_words_then_grams(spark, tongues):
     assert word == "de" and score == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("text", ["m²", "H₂O x²", "x½", "5 m²", "a_b", "ⅷa"])
+def test_letters_beside_other_signs_have_a_language(spark, tongues, text):
+    speaker = language.Predictor(language.learn(tongues, sample_keys=["doc_id"]))
+    assert speaker.predict(text)[0] in ("de", "en")
+    assert [speaker.predict(odd) for odd in ("½ ²", "_ 12", "٣", None)] == [("und", 0.0)] * 4
+    rows = docs_of(spark, text).select(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    assert language.words_of(text) == rows.collect()[0][0]
+
+
+def predicted_by_force(model, text):
+    words = re.findall(r"[a-zäöüßéèà]+", text.lower())
+    total = {lang: model.prior[k] for k, lang in enumerate(model.languages)}
+    for word in words:
+        rows = [model.words[word]] if word in model.words else []
+        for size in range(language.LONGEST, 0, -1):
+            if not rows:
+                padded = f" {word} "
+                rows = [model.grams[g] for at in range(max(1, len(padded) - size + 1)) if (g := padded[at:at + size]) in model.grams]
+        for k, lang in enumerate(model.languages if rows else []):
+            total[lang] += sum(model.scores[row][k] for row in rows) / len(rows)
+    best = max(model.languages, key=lambda lang: (total[lang], -model.languages.index(lang)))
+    return best, 1 / sum(math.exp(value - total[best]) for value in total.values())
+
+
+def test_predictions_agree_with_plain_sums(spark, tongues):
+    model = language.learn(tongues, sample_keys=["doc_id"])
+    speaker = language.Predictor(model)
+    for text in ["the thing", "das ding", "thingx dasz qqq", "über the", "a b c d", "Straße houses"]:
+        lang, score = speaker.predict(text)
+        wanted = predicted_by_force(model, text)
+        assert lang == wanted[0] and score == pytest.approx(wanted[1])
+
+
 def test_language_backs_off_to_the_longest_known_gram(spark, tongues):
     model = language.learn(tongues, sample_keys=["doc_id"])
     padded, found = " thingx ", None
