@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from depotlake.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from depotlake.session import workspace
 from depotlake.sources.store import PART, ConflictError, Store
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def matches(target: DataFrame, changes: DataFrame, key: str, stamp: str,
             limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
@@ -72,9 +76,11 @@ def latest_of_batch(source: DataFrame, key: str, newest_first: Sequence[str]) ->
 def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str = TRADE_KEY,
                 newest_first: Sequence[str] = LATEST_FIRST, sort_by: Sequence[str] = (),
                 layout: Mapping[str, str] | None = None,
-                batch: tuple[str, int] | None = None) -> int:
+                batch: tuple[str, int] | None = None, immutable: Sequence[str] = ()) -> int:
     """Upsert into a stored table, rewriting only parts that hold a replaced row.
 
+    Where the layout has a bucket of the key, only folders of the batch's buckets are read, and a part is one bucket
+    of one month. ``immutable`` names columns that no change of a row alters; folders follow them too.
     A row whose change moves it to another partition leaves its old part that
     way. ``batch`` names a feed and a batch of it: one already contained is skipped.
     Rows without a key are all added. When another writer changes the table
@@ -87,14 +93,58 @@ def upsert_into(store: Store, table: str, source: DataFrame, ref: str, key: str
     # The batch is written once: a live source may answer differently the next time.
     latest_of_batch(source, key, newest_first).write.parquet(f"{scratch}/changes")
     changes = store.spark.read.parquet(f"{scratch}/changes")
-    version = retried(lambda: _upsert(store, table, changes, ref, key, newest_first, sort_by, layout, batch))
+    version = retried(lambda: _upsert(store, table, changes, ref, key, newest_first, sort_by, layout, batch, immutable))
     store.files.remove(scratch)
     return version
 
 
+def fixed_layout(changes: DataFrame, layout: Sequence[Mapping[str, str]], fixed: Sequence[str]) -> list[str]:
+    """The layout columns that the columns ``fixed`` alone determine, such as a bucket of the key."""
+    alone = changes.select(*fixed)
+    found = []
+    for column in layout:
+        try:
+            alone.select(F.expr(column["expr"]))
+        except AnalysisException:  # it needs a column that a change may give another value
+            continue
+        found.append(column["name"])
+    return found
+
+
+def reachable_parts(store: Store, table: str, version: int, changes: DataFrame, key: str,
+                    immutable: Sequence[str] = ()) -> list[str] | None:
+    """The parts of a version that can hold a row some change refers to; None for all of them.
+
+    A layout column made of the key (and of columns declared immutable) has one value for all rows of a key, so
+    the values of the batch tell the folders to look in. Those values are at most as many as there are folders;
+    when a batch reaches most of them anyway, all parts are read. Parts written with another layout are always read.
+    """
+    manifest = store.manifest(table, version)
+    names = fixed_layout(changes, manifest["layout"], (key, *immutable))
+    if not names:
+        return None
+    exprs = [F.expr(c["expr"]).cast("string").alias(c["name"]) for c in manifest["layout"] if c["name"] in names]
+    keyed = changes.filter(F.col(key).isNotNull())
+    places = {tuple(row) for row in keyed.select(*exprs).distinct().limit(len(manifest["parts"]) + 1).collect()}
+    if len(places) > len(manifest["parts"]):
+        return None
+
+    def holds_place(folder: str) -> bool:
+        values = part_values(folder)
+        return any(name not in values for name in names) or tuple(values[name] for name in names) in places
+
+    return [p["dir"] for p in manifest["parts"] if holds_place(p["dir"])]
+
+
+def part_values(folder: str) -> dict[str, str | None]:
+    """The layout values that the path of a part tells."""
+    pairs = (step.split("=", 1) for step in folder.split("/") if "=" in step)
+    return {name: None if value == NULL_FOLDER else unquote(value) for name, value in pairs}
+
+
 def _upsert(store: Store, table: str, changes: DataFrame, ref: str, key: str,
             newest_first: Sequence[str], sort_by: Sequence[str], layout: Mapping[str, str] | None,
-            batch: tuple[str, int] | None) -> int:
+            batch: tuple[str, int] | None, immutable: Sequence[str] = ()) -> int:
     """One attempt, from the version the ref shows now to the next one."""
     current = store.state(ref).get(table)
     if current and batch and store.applied_in(table, current, batch[0]) >= batch[1]:
@@ -104,7 +154,8 @@ def _upsert(store: Store, table: str, changes: DataFrame, ref: str, key: str,
     spark = store.spark
     scratch = workspace(spark, "upsert")
     names = [c["name"] for c in store.manifest(table, current)["columns"]]
-    target = store.read(table, version=current, with_part=True)
+    within = reachable_parts(store, table, current, changes, key, immutable)
+    target = store.read(table, version=current, parts=within, with_part=True)
     matches(target, changes, key, newest_first[0]).write.parquet(f"{scratch}/matches")
     hit = spark.read.parquet(f"{scratch}/matches")
     # As many values as the table has parts with a replaced row.

@@ -1,33 +1,73 @@
-"""Comparing two versions of a stored table."""
+"""Comparing versions of a stored table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlake.model import TRADE_KEY
 from depotlake.sources.store import Store
 
+ADDED, DELETED, UPDATED = "added", "deleted", "updated"
 
-def version_diff(store: Store, table: str, before: int, after: int,
-                 key: str = TRADE_KEY) -> DataFrame:
-    """Rows added, removed and changed between two versions, by key.
 
-    Parts that both versions list hold the same rows and are not read, so the
-    cost follows what was rewritten. Columns only one version has do not count.
+def version_changes(store: Store, table: str, before: int, after: int,
+                    key: str = TRADE_KEY) -> DataFrame:
+    """The change feed from one version to another: ``change, copies`` and the columns both versions have.
+
+    Parts that both versions list hold the same rows and are not read, so the cost follows what was rewritten. What
+    is left of the rows of both sides, taken from each other as multisets, has changed: an updated key shows its new
+    values, a deleted one its last. Rows without a key are never updated, only added and deleted; ``copies`` tells how
+    many equal ones. Columns that only one version has do not count.
     """
     manifests = store.manifest(table, before), store.manifest(table, after)
     old, new = ({p["dir"] for p in m["parts"]} for m in manifests)
     names = [c["name"] for c in manifests[0]["columns"]
              if c["name"] in {d["name"] for d in manifests[1]["columns"]}]
-    left = store.read(table, version=before, parts=sorted(old - new))
-    right = store.read(table, version=after, parts=sorted(new - old))
-    left = left.select(key, F.struct(*names).alias("was"))
-    right = right.select(key, F.struct(*names).alias("is"))
-    both = left.join(right, key, "full_outer")
-    return both.agg(
-        F.count_if(F.col("was").isNull()).alias("added"),
-        F.count_if(F.col("is").isNull()).alias("removed"),
-        F.count_if(F.col("was").isNotNull() & F.col("is").isNotNull()
-                   & ~F.col("was").eqNullSafe(F.col("is"))).alias("changed"),
-    )
+    left = store.read(table, version=before, parts=sorted(old - new)).select(*names, F.lit(-1).alias("_side"))
+    right = store.read(table, version=after, parts=sorted(new - old)).select(*names, F.lit(1).alias("_side"))
+    net = left.unionByName(right).groupBy(*names).agg(F.sum("_side").alias("_net")).filter("_net <> 0")
+    rows = net.select(*names, (F.col("_net") > 0).alias("_new"), F.abs("_net").alias("copies"))
+    # A key has a row or two here, as tables are unique on it; rows without one do not meet.
+    of_key = Window.partitionBy(key)
+    keyed = rows.filter(F.col(key).isNotNull()).withColumns(
+        {"_gone": F.max(~F.col("_new")).over(of_key), "_came": F.max("_new").over(of_key)})
+    keyed = keyed.filter(F.col("_new") | ~F.col("_came"))
+    rest = rows.filter(F.col(key).isNull()).withColumns({"_gone": ~F.col("_new"), "_came": F.col("_new")})
+    change = F.when(F.col("_gone") & F.col("_came"), UPDATED).when(F.col("_came"), ADDED).otherwise(DELETED)
+    return keyed.unionByName(rest).select(change.alias("change"), "copies", *names)
+
+
+def _counts(changes: DataFrame) -> DataFrame:
+    def number(kind: str):
+        return F.coalesce(F.sum(F.when(F.col("change") == kind, F.col("copies"))), F.lit(0)).cast("bigint")
+
+    return changes.agg(number(ADDED).alias("added"), number(DELETED).alias("removed"), number(UPDATED).alias("changed"))
+
+
+def version_diff(store: Store, table: str, before: int, after: int,
+                 key: str = TRADE_KEY) -> DataFrame:
+    """How many rows were added, removed and changed between two versions, by key."""
+    return _counts(version_changes(store, table, before, after, key))
+
+
+def version_history(store: Store, table: str, key: str = TRADE_KEY) -> DataFrame:
+    """``version, parent, operation, added, removed, changed`` of every version kept, against its parent.
+
+    A first version adds all its rows. One plan for each version, each reading only the parts it does not share.
+    """
+    rows = []
+    for version in store.versions(table):
+        manifest = store.manifest(table, version)
+        if manifest["parent"]:
+            counts = version_diff(store, table, manifest["parent"], version, key)
+        else:
+            none = F.lit(0).cast("bigint")
+            counts = store.read(table, version=version).agg(F.count(F.lit(1)).alias("added")).select(
+                "added", none.alias("removed"), none.alias("changed"))
+        rows.append(counts.select(
+            F.lit(version).alias("version"), F.lit(manifest["parent"]).cast("int").alias("parent"),
+            F.lit(manifest["operation"]).alias("operation"), "added", "removed", "changed"))
+    return reduce(DataFrame.unionByName, rows)

@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from depotlake.plans import (job_queries, lake_queries, mart_queries, recon_queries,  # noqa: F401
+from depotlake.plans import (growth_queries, job_queries, lake_queries, mart_queries, recon_queries,  # noqa: F401
                              report_queries, write_queries)
 from depotlake.plans.registry import ORACLES, QUERIES
 

@@ -36,6 +36,11 @@ def position_layout(buckets: int = POSITION_BUCKETS) -> dict[str, str]:
     return {"investor_bucket": f"pmod(hash(investor_id), {buckets})"}
 
 
+def keyed_layout(buckets: int, key: str = TRADE_KEY) -> dict[str, str]:
+    """By month, and within a month in a declared number of buckets of the key, for tables that take upserts."""
+    return {"key_bucket": f"pmod(hash({key}), {buckets})", **MONTHLY}
+
+
 Audit = Callable[[str], None]
 
 
