@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depotlake.functions.expressions import month_of
 from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, SILVER, TRADE, TRADE_KEY
 from depotlake.operators import marts, quality, reconcile, silver
 from depotlake.operators.upsert import upsert_into
@@ -25,6 +26,10 @@ PUBLISHED = (BRONZE, RESOLVED, DAILY, POSITION, BROKER,
 MONTHLY = {"trade_month": "date_format(trade_ts, 'yyyy-MM')"}
 DAILY_MONTHLY = {"trade_month": "date_format(trade_date, 'yyyy-MM')"}
 
+# Notes in the manifests of marts and copies: the version of the resolved trades they were made from, and whether
+# every trade lies in the folder of the month of its trade date, so that a month of dates is a month of folders.
+SOURCE, ALIGNED = RESOLVED, "dates follow folders"
+
 # One layout per table, the same at every size. Layout columns are derived: the real ones
 # stay in the files, as a folder name can tell neither '' nor NULL from the other.
 RESOLVED_LAYOUT = {"outcome_part": "outcome", **MONTHLY}
@@ -180,13 +185,14 @@ def build_gold(store: Store, calculated_at: datetime | None = None, publish: boo
 
     def write(ref: str) -> None:
         trades = silver_view(store, ref)
+        notes = {SOURCE: store.state(ref)[RESOLVED]}
         store.write_together(ref, [
             {"table": DAILY, "df": marts.daily_security(trades), "operation": "full refresh",
-             "layout": DAILY_MONTHLY,
+             "layout": DAILY_MONTHLY, "notes": notes,
              "sort_by": ("trade_date", "security_type", "security_id", "channel")},
             {"table": POSITION, "df": marts.positions(trades).withColumn("calculated_at", at),
              "operation": "full refresh",
-             "layout": position_layout(),
+             "layout": position_layout(), "notes": notes,
              "sort_by": ("investor_id", "security_id")},
             {"table": BROKER, "df": marts.broker_daily(trades), "operation": "full refresh",
              "layout": DAILY_MONTHLY, "sort_by": ("trade_date", "broker_id")},
@@ -201,6 +207,11 @@ def required(column: str, kind: str) -> Column:
     return F.when(F.col(column).isNotNull(), F.col(column)).otherwise(missing).alias(column)
 
 
+def misplaced(trades: DataFrame) -> int:
+    """Trades outside the folder of the month of their trade date."""
+    return trades.agg(F.count_if(~month_of("trade_date").eqNullSafe(F.col("trade_month")))).first()[0]
+
+
 def refresh_serving(store: Store, publish: bool = True) -> str:
     """Copies ordered by access path: by date, by investor, and detail rows with
     Bloom filters for the columns they are not ordered by. Each file covers a
@@ -212,15 +223,16 @@ def refresh_serving(store: Store, publish: bool = True) -> str:
                                 for c, t in daily.dtypes))
         position = store.read(POSITION, ref).select(*store.columns(POSITION, ref))
         detail = with_outcome(store, silver.VALID, ref)
+        aligned = {ALIGNED: int(misplaced(detail) == 0)}
         store.write_together(ref, [
             {"table": SERVING_DAILY, "df": strict, "operation": "refresh",
-             "layout": DAILY_MONTHLY,
+             "layout": DAILY_MONTHLY, "notes": {SOURCE: store.applied(DAILY, ref, SOURCE), **aligned},
              "sort_by": ("trade_date", "security_type", "security_id", "channel")},
             {"table": SERVING_POSITION, "df": position, "operation": "refresh", "layout": {},
-             "by_range": True, "sort_by": ("investor_id", "security_type", "security_id"),
+             "notes": {SOURCE: store.applied(POSITION, ref, SOURCE)}, "by_range": True, "sort_by": ("investor_id", "security_type", "security_id"),
              "bloom_on": ("investor_id",)},
             {"table": SERVING_TRADE, "df": detail.select(*SILVER.names), "operation": "refresh",
-             "layout": MONTHLY, "by_range": True,
+             "layout": MONTHLY, "by_range": True, "notes": {SOURCE: store.state(ref)[RESOLVED]},
              "sort_by": ("trade_date", "security_type", "security_id", "trade_id"),
              "bloom_on": ("investor_id", "broker_id")},
         ])

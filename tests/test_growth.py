@@ -193,3 +193,41 @@ def test_sessions_go_on_after_a_restart_and_late_events_are_dropped(spark, store
     assert seen[0] == [session(1, 0, 20, 2, 1)]
     assert seen[1] == seen[0] + [session(2, 100, 115, 2, 0)]
     assert seen[2] == seen[1] + [session(3, 300, 300, 1, 0)]
+
+
+# ---- serving copies
+
+def test_serving_refresh_reads_and_writes_changed_months_only(spark, monkeypatch):
+    from depotlake.operators import marts
+    from depotlake.plans import growth_queries, jobs, serving_delta
+    store = growth_queries.changed_month(spark, "/root/testdata/sf0.001")
+    month, seen = growth_queries.CHANGED_MONTH, []
+    aggregate = marts.daily_security
+    monkeypatch.setattr(marts, "daily_security", lambda rows: seen.append(rows.inputFiles()) or aggregate(rows))
+    before = {t: {p["dir"] for p in store.manifest(t, store.state()[t])["parts"]} for t in (jobs.SERVING_DAILY, jobs.SERVING_TRADE)}
+    serving_delta.refresh_serving_delta(store)
+    monkeypatch.undo()
+    plan = seen[0] and aggregate(jobs.silver_view(store).filter(F.col("trade_month") == month))
+    for table, old in before.items():
+        new = {p["dir"] for p in store.manifest(table, store.state()[table])["parts"]}
+        assert {part_values(d)["trade_month"] for d in old ^ new} == {month}
+    names = [c for c in store.columns(jobs.SERVING_DAILY)]
+    daily = store.read(jobs.SERVING_DAILY)
+    assert daily.filter(F.col("trade_month") == month).select(*names).exceptAll(plan.select(*names)).isEmpty()
+    silver = jobs.silver_view(store)
+    assert daily.select(*names).exceptAll(marts.daily_security(silver).select(*names)).isEmpty()
+    position = marts.positions(silver)
+    copy = store.read(jobs.SERVING_POSITION).select(*position.columns)
+    assert copy.exceptAll(position).isEmpty() and position.exceptAll(copy).isEmpty()
+    assert store.read(jobs.SERVING_TRADE).count() == silver.count()
+    assert serving_delta.refresh_serving_delta(store) is None
+
+
+def test_serving_delta_prunes_folders_in_its_plan(spark):
+    from depotlake.plans import growth_queries, jobs, serving_delta
+    store = growth_queries.changed_month(spark, "/root/testdata/sf0.001")
+    found = serving_delta.delta(store, 1, store.state()[jobs.RESOLVED])
+    assert found.months == [growth_queries.CHANGED_MONTH] and found.before and found.after
+    assert jobs.misplaced(jobs.with_outcome(store, "valid")) == 0
+    assert store.applied(jobs.SERVING_DAILY, MAIN, jobs.SOURCE) == 1
+    assert store.applied(jobs.SERVING_TRADE, MAIN, jobs.ALIGNED) in (-1, 1)
