@@ -53,3 +53,24 @@ def test_values_and_missing(sides):
     totals = reconcile.compare_totals(balance, position).first()
     assert (totals.balance_total, totals.position_total, totals.gap) == (
         Decimal("9.5"), Decimal(9), Decimal("0.5"))
+
+
+def test_buckets_find_the_pairs_that_differ_and_join_no_others(spark, sides):
+    equal = [(i, s, str(i + s)) for i in range(40) for s in range(25)]
+    balance, position = sides([*equal, (900, 1, "3"), (901, 1, "1.00"), (902, 1, "8")],
+                              [*equal, (900, 1, "4"), (901, 1, "1.01"), (903, 1, "8")])
+    rows = {(r["investor_id"], r["status"]) for r in reconcile.compare_by_buckets(balance, position).collect()}
+    assert rows == {(900, "different"), (902, "only in balance"), (903, "only in position")}
+    unlike = {r["bucket"] for r in reconcile.unlike_buckets(balance, position).collect()}
+    assert len(unlike) == 4
+    kept = reconcile._bucketed(balance, "nominal_qty", reconcile.RECON_BUCKETS).where(
+        reconcile.F.col("bucket").isin(list(unlike))).count()
+    assert kept < 10
+
+
+def test_buckets_of_equal_empty_and_null_sides(sides):
+    found = lambda *two: reconcile.compare_by_buckets(*two, buckets=2).collect()
+    assert found(*sides(PAIRS, PAIRS)) == [] and found(*sides([], [])) == []
+    assert len(found(*sides(PAIRS, []))) == 3
+    left, right = sides(PAIRS[:1], PAIRS[:1])
+    assert [r["status"] for r in found(left, right.withColumn("net_qty", reconcile.F.lit(None)))] == ["only in balance"]
