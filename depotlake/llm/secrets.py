@@ -9,7 +9,8 @@ Documents are known to the index by a hash of id and text: a collision can only
 one, and repeated rows share their postings.
 
 Places are code points, ends are exclusive. Defined results: a NULL or empty text has no spans; matches of one
-rule do not overlap, matches of different rules may; repeated rows give the same spans.
+rule do not overlap, matches of different rules may; repeated rows give the same spans; time grows in proportion to
+the spans of a text.
 """
 
 from __future__ import annotations
@@ -19,10 +20,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.llm.common import fresh
+from depotlake.llm.common import fresh, settled
 from depotlake.llm.trigrams import trigram_query
+from depotlake.operators.joins import broadcast_if_small
 
 MASK_BITS = 60
+#: Elements of an array that are gone through together; time grows with their number, not with its square.
+BLOCK = 256
 SPANS = "array<struct<start:int,rank:int,kind:string,stop:int>>"
 
 
@@ -102,32 +106,61 @@ def candidates(docs: DataFrame, rules=RULES, text: str = "text", doc_id: str = "
     return masks.select("key", fulfilled.alias("rules")).where("rules > 0")
 
 
+def _let(value: Column, function) -> Column:
+    """``function`` of ``value``, which is worked out once however often ``function`` names it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
+
+
+def _blocks(values: Column) -> Column:
+    """An array that is not empty, cut into arrays of ``BLOCK`` elements."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")),
+                       lambda block: F.slice(values, block * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _running(values: Column, merge) -> Column:
+    """What the elements up to each one come to under ``merge``, from 0. Arrays grow within a block only."""
+    def grown(block: Column, value) -> Column:
+        return F.aggregate(block, F.array().cast("array<int>"), lambda done, item: F.concat(done, F.array(
+            merge(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)), value(item)))))
+
+    def joined(blocks: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), grown(blocks, lambda block: F.element_at(block, -1)))
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda block, offset: F.transform(
+            block, lambda item: merge(offset, item))))
+
+    return _let(F.transform(_let(values, _blocks), lambda block: grown(block, lambda item: item)), joined)
+
+
 def _matches(text: Column, rule: Rule, rank: int) -> Column:
     """The spans of one rule: what lies between matches and the matches themselves add up to the places."""
     pattern = F.lit(rule.java)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.arrays_zip(
-        F.split(text, rule.java, -1).alias("gap"), whole.alias("whole"),
-        (F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole).alias("tested"))
+    tested = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
+    pieces = F.zip_with(
+        F.split(text, rule.java, -1), F.arrays_zip(whole.alias("whole"), tested.alias("tested")),
+        lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(hit["whole"]), F.lit(0)).alias("whole"),
+                                  F.coalesce(F.length(hit["tested"]), F.lit(0)).alias("tested")))
+    least = max(rule.least, 1)
 
-    def step(done: Column, piece: Column) -> Column:
-        start = done["at"] + F.length(piece["gap"])
-        stop = start + F.coalesce(F.length(piece["whole"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
-                        stop.alias("stop"))
-        kept = F.coalesce(F.length(piece["tested"]) >= F.greatest(F.lit(rule.least), F.lit(1)), F.lit(False))
-        return F.struct(stop.alias("at"), F.when(kept, F.concat(done["spans"], F.array(span))).otherwise(
-            done["spans"]).alias("spans"))
+    def spans(found: Column) -> Column:
+        stops = _running(F.transform(found, lambda piece: piece["gap"] + piece["whole"]), lambda a, b: a + b)
+        placed = F.filter(F.zip_with(found, stops, lambda piece, stop: F.struct(
+            piece["whole"].alias("whole"), piece["tested"].alias("tested"), stop.alias("stop"))),
+            lambda piece: piece["tested"] >= least)
+        return F.transform(placed, lambda piece: F.struct(
+            (piece["stop"] - piece["whole"]).alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
+            piece["stop"].alias("stop")))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-    return F.aggregate(pieces, start, step, lambda done: done["spans"])
+    return _let(pieces, spans)
 
 
 def with_spans(docs: DataFrame, spans: str, rules=RULES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the column ``spans``, ordered by start, then by rule."""
     key, mask = fresh(docs, "key"), fresh(docs, "rules")
     found = candidates(docs, rules, text, doc_id).select(F.col("key").alias(key), F.col("rules").alias(mask))
-    joined = docs.withColumn(key, _key(doc_id, text)).join(found, key, "left")
+    # Written once, as its size is measured first: texts stay where they are unless the candidates are too many to send.
+    found = settled(found, "secret-candidates")
+    joined = docs.withColumn(key, _key(doc_id, text)).join(broadcast_if_small(found), key, "left")
     none = F.array().cast(SPANS)
     content = F.coalesce(F.col(text), F.lit(""))
     parts = []
@@ -151,14 +184,20 @@ def redacted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mark:
     spans = fresh(docs, "spans")
     content = F.col(text)
 
-    def step(done: Column, span: Column) -> Column:
-        gap = F.substring(content, done["at"] + 1, span["start"] - done["at"])
-        return F.when(span["start"] >= done["at"], F.struct(
-            span["stop"].alias("at"), F.concat(done["out"], gap, F.lit(mark)).alias("out"))).otherwise(
-            F.struct(F.greatest(done["at"], span["stop"]).alias("at"), done["out"].alias("out")))
-
-    clean = F.aggregate(
-        F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda done: F.concat(done["out"], F.substring(content, done["at"] + 1, F.length(content))))
+    def cut(gaps: Column) -> Column:
+        """The gaps of a block, each with a mark behind it; places count from the block's own piece of text."""
+        first = F.element_at(gaps, 1)["from"]
+        piece = F.substring(content, first + 1, F.element_at(gaps, -1)["upto"] - first)
+        return _let(piece, lambda part: F.array_join(F.transform(gaps, lambda gap: F.concat(
+            F.substring(part, gap["from"] - first + 1, gap["upto"] - gap["from"]), F.lit(mark))), ""))
+
+    def masked(reach: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), F.slice(reach, F.lit(1), F.size(reach) - 1))
+        gaps = F.filter(F.zip_with(F.col(spans), before, lambda span, done: F.struct(
+            done.alias("from"), span["start"].alias("upto"))), lambda gap: gap["upto"] >= gap["from"])
+        rest = F.substring(content, F.element_at(reach, -1) + 1, F.length(content))
+        return F.concat(F.array_join(F.transform(_let(gaps, _blocks), cut), ""), rest)
+
+    clean = _let(_running(F.transform(spans, lambda span: span["stop"]), F.greatest), masked)
     changed = F.when(F.size(spans) > 0, clean).otherwise(content)
     return with_spans(docs, spans, rules, text, doc_id).withColumn(text, changed).drop(spans)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pandas as pd
 import pytest
@@ -146,6 +147,36 @@ def test_redaction_masks_each_group_of_spans_once(spark):
     assert secrets.redacted(rows).columns == rows.columns
 
 
+def test_a_text_of_many_spans_takes_time_in_proportion(spark):
+    count = 100_000
+    text = "é token=abcdef," * count
+    rows = docs_of(spark, text).cache()
+    rows.count()
+    start = time.monotonic()
+    spans = secrets.with_spans(rows, "found").selectExpr("size(found) n", "found[77777] s", "found[99999] t").first()
+    clean = secrets.redacted(rows).first()["text"]
+    assert time.monotonic() - start < 60  # quadratic: some minutes for the spans alone
+    size = len("é token=abcdef,")
+    assert spans["n"] == count and [spans[k]["start"] for k in "st"] == [77777 * size + 2, 99999 * size + 2]
+    assert clean == "é [secret]," * count
+    rows.unpersist()
+
+
+def test_many_spans_of_several_rules_that_overlap(spark):
+    rng = random.Random(3)
+    bits = ["token=", "a1" * 12, "deadbeef" * 3, " ", "é", "AKIA" + "Q" * 16, "🎉", "x"]
+    texts = ["".join(rng.choice(bits) for _ in range(n)) for n in (1500, 3000)]
+    for row in secrets.with_spans(docs_of(spark, *texts), "found").collect():
+        assert [tuple(span) for span in row["found"]] == spans_by_re(row["text"])
+    for row, text in zip(secrets.redacted(docs_of(spark, *texts)).orderBy("doc_id").collect(), texts):
+        out, at = "", 0
+        for start, _, _, stop in spans_by_re(text):
+            if start >= at:
+                out += text[at:start] + "[secret]"
+            at = max(at, stop)
+        assert row["text"] == out + text[at:]
+
+
 def test_scans_take_clashing_columns_repeated_rows_and_empty_tables(spark):
     rows = docs_of(spark, "token=abcdef").withColumns({"key": F.lit(1), "rules": F.lit(2), "spans": F.lit(3)})
     twice = secrets.redacted(rows.union(rows)).collect()
