@@ -1,4 +1,4 @@
-"""Exact quantiles and as-of joins against plain Python."""
+"""Exact quantiles and as-of joins against plain Python; files in interleaved order."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ import pytest
 from conftest import plan_of
 from depotlake.operators import asof
 from depotlake.operators.asof import as_of
+from depotlake.operators.interleave import cell_borders, interleaved_place, lookup_cost, write_interleaved
 from depotlake.operators.quantiles import exact_quantiles
 from depotlake.session import workspace
 
@@ -106,3 +107,25 @@ def test_no_window_sees_a_whole_key(spark):
     left, right = spark.createDataFrame([(1, "a", START)], LEFT), spark.createDataFrame([("a", START, 5)], RIGHT)
     plan = plan_of(as_of(left, right, ["k"], "at", "known", ["v"]))
     assert "SinglePartition" not in plan
+
+
+def test_interleaved_files_serve_both_columns_also_beside_a_hot_value(spark):
+    dice = random.Random(2)
+    rows = [(n, 7 if n % 3 == 0 else dice.randint(0, 999), dice.randint(0, 999)) for n in range(4000)] + [(4000, None, None)]
+    df = spark.createDataFrame(rows, "id int, a int, b int")
+    path = workspace(spark, "interleaved")
+    write_interleaved(df, path, ["a", "b"], files=16)
+    stored = spark.read.parquet(path)
+    assert sorted(map(tuple, stored.collect()), key=lambda r: r[0]) == rows
+    cost = {r["probe"]: (r["files"], r["touched"]) for r in lookup_cost(stored, {"a": 600, "b": 600}).collect()}
+    assert all(files == 16 and 1 <= touched <= 8 for files, touched in cost.values()), cost
+    sizes = [r["count"] for r in stored.groupBy("_metadata.file_path").count().collect()]
+    assert max(sizes) < 3 * len(rows) / 16, "the hot value is cut over files"
+    assert len(cell_borders(df, "a")) < 63
+
+
+def test_places_take_turns_between_columns(spark):
+    df = spark.createDataFrame([(1, 1), (9, 1), (1, 9), (9, 9), (None, 9)], "a int, b int")
+    places = [r["p"] for r in df.select(interleaved_place({"a": [5], "b": [5]}).alias("p")).collect()]
+    assert places == [0, 1, 2, 3, 2]
+    assert df.select(interleaved_place({"a": []}).alias("p")).distinct().collect()[0]["p"] == 0
