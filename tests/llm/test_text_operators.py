@@ -177,6 +177,16 @@ def test_many_spans_of_several_rules_that_overlap(spark):
         assert row["text"] == out + text[at:]
 
 
+def test_candidates_too_many_to_send_are_joined_by_key(spark, monkeypatch):
+    rows = docs_of(spark, *SECRET_TEXTS)
+    sent = secrets.with_spans(rows, "found")
+    monkeypatch.setattr(secrets, "broadcast_if_small", lambda found: found.hint("merge"))
+    joined = secrets.with_spans(rows, "found")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (sent, joined)]
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
+    assert sorted(sent.collect(), key=lambda row: row["doc_id"]) == sorted(joined.collect(), key=lambda row: row["doc_id"])
+
+
 def test_scans_take_clashing_columns_repeated_rows_and_empty_tables(spark):
     rows = docs_of(spark, "token=abcdef").withColumns({"key": F.lit(1), "rules": F.lit(2), "spans": F.lit(3)})
     twice = secrets.redacted(rows.union(rows)).collect()
