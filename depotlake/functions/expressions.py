@@ -75,26 +75,30 @@ def total(column: Column | str, scale_type: str) -> Column:
     return F.sum(column).cast(scale_type)
 
 
-# Partition transforms: derived columns that a reader can prune on.
+# Partition transforms: derived columns that a reader can prune on. Layouts name them as text, as manifests keep it.
 
-def month_of(stamp: Column | str) -> Column:
-    return F.date_format(stamp, "yyyy-MM")
+def by_month(stamp: str) -> str:
+    return f"date_format({stamp}, 'yyyy-MM')"
 
 
-def month_start(stamp: Column | str) -> Column:
-    return F.trunc(stamp, "MM")
+def by_day(stamp: str) -> str:
+    return f"to_date({stamp})"
+
 
+def by_year(stamp: str) -> str:
+    return f"year({stamp})"
 
-def day_of(stamp: Column | str) -> Column:
-    return F.to_date(stamp)
 
+def by_bucket(key: str, buckets: int) -> str:
+    return f"pmod(hash({key}), {buckets})"
 
-def year_of(stamp: Column | str) -> Column:
-    return F.year(stamp)
 
+def month_of(stamp: str) -> Column:
+    return F.expr(by_month(stamp))
 
-def bucket(key: Column | str, buckets: int) -> Column:
-    return F.pmod(F.hash(key), F.lit(buckets))
+
+def month_start(stamp: Column | str) -> Column:
+    return F.trunc(stamp, "MM")
 
 
 def mebibytes(size: Column) -> Column:

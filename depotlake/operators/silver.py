@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.joins import BROADCAST_LIMIT_BYTES, join_dimension
 
 VALID, QUARANTINED = "valid", "quarantined"
+QUARANTINED_AT = "quarantined_at"
 
 
 def enrich(trades: DataFrame, investors: DataFrame, securities: DataFrame,
@@ -51,6 +54,11 @@ def with_outcome(enriched: DataFrame) -> DataFrame:
     return enriched.withColumn("reason", reason).withColumn("outcome", outcome)
 
 
+def stamped(resolved: DataFrame, now: datetime) -> DataFrame:
+    """Adds when a row was rejected; valid rows have no stamp."""
+    return resolved.withColumn(QUARANTINED_AT, F.when(F.col("outcome") == QUARANTINED, F.lit(now)))
+
+
 def valid_only(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.col("outcome") == VALID).select(*SILVER.names)
 

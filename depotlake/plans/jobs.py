@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import month_of
-from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, SILVER, TRADE, TRADE_KEY
+from depotlake.functions.expressions import by_bucket, by_month, month_of
+from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, QUARANTINE, SILVER, TRADE, TRADE_KEY
 from depotlake.operators import marts, quality, reconcile, silver
 from depotlake.operators.upsert import upsert_into
 from depotlake.sources.ingest import changed_since, high_water_mark, typed, with_lineage
@@ -23,8 +23,8 @@ SERVING_DAILY, SERVING_POSITION, SERVING_TRADE = (
 PUBLISHED = (BRONZE, RESOLVED, DAILY, POSITION, BROKER,
              SERVING_DAILY, SERVING_POSITION, SERVING_TRADE)
 
-MONTHLY = {"trade_month": "date_format(trade_ts, 'yyyy-MM')"}
-DAILY_MONTHLY = {"trade_month": "date_format(trade_date, 'yyyy-MM')"}
+MONTHLY = {"trade_month": by_month("trade_ts")}
+DAILY_MONTHLY = {"trade_month": by_month("trade_date")}
 
 # Notes in the manifests of marts and copies: the version of the resolved trades they were made from, and whether
 # every trade lies in the folder of the month of its trade date, so that a month of dates is a month of folders.
@@ -38,12 +38,12 @@ POSITION_BUCKETS = 16
 
 def position_layout(buckets: int = POSITION_BUCKETS) -> dict[str, str]:
     """By investor, in a declared number of buckets."""
-    return {"investor_bucket": f"pmod(hash(investor_id), {buckets})"}
+    return {"investor_bucket": by_bucket("investor_id", buckets)}
 
 
 def keyed_layout(buckets: int, key: str = TRADE_KEY) -> dict[str, str]:
     """By month, and within a month in a declared number of buckets of the key, for tables that take upserts."""
-    return {"key_bucket": f"pmod(hash({key}), {buckets})", **MONTHLY}
+    return {"key_bucket": by_bucket(key, buckets), **MONTHLY}
 
 
 Audit = Callable[[str], None]
@@ -129,7 +129,8 @@ def silver_view(store: Store, ref: str = MAIN) -> DataFrame:
 
 
 def quarantine_view(store: Store, ref: str = MAIN) -> DataFrame:
-    return silver.quarantined_only(with_outcome(store, silver.QUARANTINED, ref))
+    """Rejected trades, why, and when the run that rejected them began."""
+    return with_outcome(store, silver.QUARANTINED, ref).select(*QUARANTINE.names, silver.QUARANTINED_AT)
 
 
 def audit_silver(store: Store, ref: str) -> None:
@@ -140,12 +141,15 @@ def audit_silver(store: Store, ref: str) -> None:
 
 
 def build_silver(store: Store, investors: DataFrame, securities: DataFrame,
-                 publish: bool = True) -> str:
+                 publish: bool = True, now: datetime | None = None) -> str:
     """One lineage, one write: the outcome column separates valid trades from the
-    quarantine, so dedup and joins run once and nothing is cached."""
+    quarantine, so dedup and joins run once and nothing is cached. Rejected rows are
+    stamped with ``now``, a value of the driver, so a task that runs again writes the same."""
+    now = now or datetime.now(timezone.utc)
+
     def write(ref: str) -> None:
         bronze = store.read(BRONZE, ref).select(*TRADE.names)
-        resolved = silver.resolve(bronze, investors, securities)
+        resolved = silver.stamped(silver.resolve(bronze, investors, securities), now)
         store.write(RESOLVED, resolved, ref, "full refresh", RESOLVED_LAYOUT,
                     ("security_type", "trade_ts", "security_id"))
 

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import at
+from depotlake.functions.expressions import at, human_count, human_size
 from depotlake.model import SIDES
 from depotlake.operators import calendars, marts, reports
 from depotlake.operators.dedup import latest_per_key
@@ -281,6 +281,24 @@ def scalar_datetime(spark, folder):
     )
 
 
+@query("formatted_totals", """
+    with k as (select o_orderpriority as priority, count(*) as n, cast(sum(o_custkey) * 100 as bigint) as total
+               from orders group by all)
+    select priority, case when n >= 1000000 then format('{:,.2f} million', n / 1000000)
+                          when n >= 1000 then format('{:,.2f} thousand', n / 1000)
+                          else format('{:,.2f}', n::double) end as orders,
+           case when total >= 1073741824 then format('{:,.2f} GiB', total / 1073741824)
+                when total >= 1048576 then format('{:,.2f} MiB', total / 1048576)
+                when total >= 1024 then format('{:,.2f} KiB', total / 1024)
+                else format('{:,.2f} B', total::double) end as size
+    from k""")
+def formatted_totals(spark, folder):
+    """Numbers as a reader sees them: a count of rows, and a number of bytes."""
+    totals = tables.table(spark, folder, "orders").groupBy(F.col("o_orderpriority").alias("priority")).agg(
+        F.count(F.lit(1)).alias("n"), (F.sum("o_custkey") * 100).alias("bytes"))
+    return totals.select("priority", human_count(F.col("n")).alias("orders"), human_size(F.col("bytes")).alias("size"))
+
+
 @query("row_counts_union", sql(TRADES, """
     select 'customer' as source, count(*) as n from customer
     union all select 'part', count(*) from part

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.functions.expressions import at, month_of, total
+from depotlake.functions.expressions import at, by_bucket, by_day, by_year, month_of, total
 from depotlake.model import LATEST_FIRST, REQUIRED, TRADE
 from depotlake.operators import evolution, marts, quality, upkeep
 from depotlake.operators.dedup import latest_per_key
@@ -379,10 +379,31 @@ def mixed_schema_counts(spark, folder):
 @query("partition_evolution", _quarter_sql(_MIXED_SQL))
 def partition_evolution(spark, folder):
     """Months before, days after: one query reads both."""
-    store = evolved_store(spark, folder, "layout", {"trade_day": "to_date(trade_ts)"})
+    store = evolved_store(spark, folder, "layout", {"trade_day": by_day("trade_ts")})
     return _mixed(store.read("quarter"))
 
 
+@query("partition_evolution_buckets", _quarter_sql(_MIXED_SQL))
+def partition_evolution_buckets(spark, folder):
+    """Months before, years and buckets of the key after."""
+    layout = {"trade_year": by_year("trade_ts"), "key_bucket": by_bucket("trade_id", 4)}
+    return _mixed(evolved_store(spark, folder, "buckets", layout).read("quarter"))
+
+
+@query("layout_folders", sql(TRADES, """
+    select 'trade_year=' || year(trade_ts) as folder, count(*) as rows, true as has_files from t group by all"""))
+def layout_folders(spark, folder):
+    """The inventory of a table laid out by years against its rows: every folder listed, none besides."""
+    store = new_store(spark, "folders")
+    store.write("trade", tables.trades(spark, folder), MAIN, "load", {"trade_year": by_year("trade_ts")})
+    listed = upkeep.per_partition(upkeep.live_files(store, "trade"))
+    held = store.read("trade").groupBy(F.concat(F.lit("trade_year="), F.col("trade_year")).alias("folder")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return listed.join(held, F.col("partition") == F.col("folder"), "full").select(
+        F.coalesce("folder", "partition").alias("folder"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce((F.col("files") > 0) & (F.col("bytes") > 0), F.lit(False)).alias("has_files"))
+
+
 @query("schema_rename", _quarter_sql("""
     select * exclude (commission), commission as commission_amount from q"""))
 def schema_rename(spark, folder):

@@ -5,6 +5,7 @@
     spark-submit run_job.py silver --tables FOLDER --store ROOT --no-publish
     spark-submit run_job.py all --tables FOLDER --store ROOT --partitions 2000
 
+``all`` always ends with the reconciliation gate and the suite of checks.
 A failed audit, gate or check ends the process with status 1; what it would have published stays on its stage.
 """
 
@@ -18,6 +19,8 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from depotlake.model import REQUIRED
+from depotlake.operators import marts
+from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.quality import QualityError, null_rules
 from depotlake.operators.reconcile import ReconciliationError
 from depotlake.plans import jobs
@@ -36,7 +39,8 @@ def parser() -> argparse.ArgumentParser:
     mode.add_argument("--since", type=datetime.fromisoformat, help="start of the increment; else the newest change loaded")
     out.add_argument("--no-publish", action="store_true", help="leave the audited stage to a later publish")
     out.add_argument("--partitions", type=int, help="initial number of reducers")
-    out.add_argument("--balance", help="Parquet of the other party's balance: investor_id, security_id, nominal_qty")
+    out.add_argument("--balance", help="Parquet of the other party's balance: investor_id, security_id, nominal_qty; "
+                                       "else the gate takes the balance straight from the source's trades")
     return out
 
 
@@ -57,7 +61,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.job == "serving":
         jobs.refresh_serving(store, publish)
     else:
-        balance = spark.read.parquet(options.balance) if options.balance else None
+        balance = spark.read.parquet(options.balance) if options.balance else marts.eod_balance(latest_per_key(source))
         jobs.run_all(store, source, investors, securities, unique=False, rules=rules, balance=balance)
 
 

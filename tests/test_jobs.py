@@ -37,7 +37,9 @@ def rows(df):
 def test_all_layers_are_published(lake):
     assert set(lake.state()) == set(jobs.PUBLISHED)
     assert jobs.silver_view(lake).count() == 3
-    assert [r.reason for r in jobs.quarantine_view(lake).collect()] == ["no matching investor"]
+    held = jobs.quarantine_view(lake).collect()
+    assert [r.reason for r in held] == ["no matching investor"] and held[0].quarantined_at is not None
+    assert jobs.with_outcome(lake, "valid").filter("quarantined_at is not null").isEmpty()
     assert lake.read(jobs.SERVING_TRADE).count() == 3
     assert jobs.expected_tables(lake).filter("status = 'MISSING'").count() == 0
     assert jobs.expected_tables(lake, ["x", jobs.DAILY]).filter("status = 'MISSING'").count() == 1
@@ -45,7 +47,7 @@ def test_all_layers_are_published(lake):
 
 def test_running_twice_changes_nothing(lake, feed, investors, securities):
     def content():
-        return {t: rows(lake.read(t).drop("_ingest_ts", "_ingest_job", "calculated_at"))
+        return {t: rows(lake.read(t).drop("_ingest_ts", "_ingest_job", "calculated_at", "quarantined_at"))
                 for t in jobs.PUBLISHED}
     first = content()
     jobs.run_all(lake, feed, investors, securities)

@@ -25,6 +25,17 @@ def test_jobs_one_by_one_and_the_gate(spark):
     wrong = f"{root}-balance"
     balance.withColumn("nominal_qty", (F.col("nominal_qty") + 1).cast("decimal(24,4)")).write.parquet(wrong)
     assert run_job.main(["all", *where, "--balance", wrong]) == 1
+    assert run_job.main(["all", *where]) == 0
+
+
+def test_the_gate_cannot_be_left_out(spark, monkeypatch):
+    """Trades that the rules reject are missing from the positions; the source's own balance shows it."""
+    faulty = run_job.tables.faulty_trades(spark, FOLDER)
+    monkeypatch.setattr(run_job.tables, "trades", lambda *_: faulty)
+    monkeypatch.setattr(run_job, "REQUIRED", ("trade_id", "investor_id"))
+    root = workspace(spark, "run-gate")
+    assert run_job.main(["all", "--tables", FOLDER, "--store", root]) == 1
+    assert jobs.POSITION in Store(spark, root).state()
 
 
 def test_full_and_since_exclude_each_other():
