@@ -8,24 +8,32 @@ from pyspark.sql import functions as F
 from depotlake.llm.common import removed, settled
 
 MAX_ROUNDS = 100
+SALTS = 64
+
+
+def _with_least(links: DataFrame) -> DataFrame:
+    """``(a, b, least)``: each link with the least b of its a.
+
+    The links of one node are dealt over ``SALTS`` tasks by their other end; only one row for each of these shares meets
+    at the node.
+    """
+    salted = links.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    shares = salted.groupBy("a", "salt").agg(F.min("b").alias("least"))
+    least = shares.groupBy("a").agg(F.min("least").alias("least"))
+    return salted.join(shares.select("a", "salt").join(least, "a"), ["a", "salt"]).select("a", "b", "least")
 
 
 def _toward_least(links: DataFrame) -> DataFrame:
     """Every node's larger neighbours are handed to the least node it knows."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("least")) \
-        .select(F.col("a").alias("node"), F.least("a", "least").alias("least"))
-    return both.where("b > a").join(least, F.col("a") == F.col("node")).select(
-        F.col("b").alias("a"), F.col("least").alias("b"))
+    return _with_least(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
 
 
 def _hang_on_least(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours hang on the least of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    least = down.groupBy("a").agg(F.min("b").alias("least")).withColumnRenamed("a", "node")
-    moved = down.join(least, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-    own = least.select(F.col("node").alias("a"), F.col("least").alias("b"))
-    return moved.union(own).where("a > b").distinct()
+    ends = F.explode(F.array("a", "b")).alias("a")
+    return _with_least(down).select(ends, F.col("least").alias("b")).where("a > b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Links are turned into stars in alternating rounds, each written to the shared folder: their number does not
     grow, and the number of rounds follows the logarithm of the longest path. Only a count and a checksum of the
-    links reach the driver. More than ``MAX_ROUNDS`` rounds, which no path of this world needs, raise RuntimeError. A node with very many links is split by adaptive execution, as rounds are joins.
+    links reach the driver. More than ``MAX_ROUNDS`` rounds, which no path of this world needs, raise RuntimeError.
     """
     def mark(stars: DataFrame):
         return tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

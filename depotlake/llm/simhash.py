@@ -90,6 +90,15 @@ def _postings(prints: DataFrame) -> DataFrame:
     return prints.select("fp", "rep", F.explode(F.array(*keys)).alias("key"))
 
 
+def _near(differing: np.ndarray) -> np.ndarray:
+    """Of pairs that met, given as the XOR of both: those whose tally of equal positional bytes reaches the guaranteed
+    minimum and that then verify."""
+    tally = (differing.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
+    near = tally >= MIN_SHARED
+    near[near] = np.bitwise_count(differing[near]) <= MAX_BITS
+    return near
+
+
 def _search(values: np.ndarray, reps: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect whatever is connected within one posting list."""
     links, left = [], np.arange(len(values))
@@ -97,8 +106,7 @@ def _search(values: np.ndarray, reps: np.ndarray) -> list[tuple[int, int]]:
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            shared = (values[left] ^ values[at])
-            near = np.bitwise_count(shared) <= MAX_BITS
+            near = _near(values[left] ^ values[at])
             if near.any():
                 reached = left[near]
                 links.extend((int(reps[at]), int(reps[other])) for other in reached)
@@ -141,7 +149,7 @@ def _links_of_lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes = np.diff(np.r_[starts, len(keys)])
         links: list[tuple[int, int]] = []
         pairs = starts[sizes == 2]
-        near = pairs[np.bitwise_count(fps[pairs] ^ fps[pairs + 1]) <= MAX_BITS] if len(pairs) else pairs
+        near = pairs[_near(fps[pairs] ^ fps[pairs + 1])]
         links.extend(zip(reps[near].tolist(), reps[near + 1].tolist()))
         for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
             members, of = fps[start:start + size], reps[start:start + size]

@@ -16,7 +16,8 @@ third of all documents share does not meet in one shard; a shard holds the disti
 its documents.
 
 Defined results: windows are judged on the input. NULL and empty texts have no words. Rows without id are documents,
-too. Repeated rows are occurrences of each other. Documents are known by a hash of id and text.
+too. Repeated rows are occurrences of each other; what is found for them is kept once, not once for each. Documents are
+known by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -241,13 +242,13 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         (F.col("same") < F.col("alike")) & (F.struct("key", "start") == F.col("first")), SAMPLE).otherwise(WHOLE)
     listed = shared.join(segs, ["anchor", "seg"]).select(
         "key", F.struct("anchor", "start", "n", role.alias("role"), "alike").alias("run")).groupBy("key").agg(
-        F.collect_list("run").alias("runs"))
+        F.collect_set("run").alias("runs"))
     listed = settled(listed, "listed")
     joined = rows.join(listed, "key", "left").select("key", "doc_id", "text", "runs")
     segments = joined.mapInPandas(
         _segments_of, "anchor long, salt long, key long, start int, n int, sample boolean, words string")
     located = segments.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", F.desc("sample")).mapInPandas(
         _located, "key long, start int, n int")
-    places = located.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("located"))
+    places = located.groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("located"))
     return joined.join(places, "key", "left").select("doc_id", "text", "runs", "located").mapInPandas(
         _kept, "doc_id long, n_words long, n_removed long, kept string")

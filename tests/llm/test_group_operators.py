@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from depotlake.llm import jaccard, queries, simhash, substrings, topk
-from depotlake.llm.components import components
+from depotlake.llm.components import SALTS, _with_least, components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -132,6 +132,25 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_of_one_node_are_dealt_over_tasks(spark):
+    """A star of 6,000 links, in either direction: no task of the join gets more than a few shares of it."""
+    star = spark.range(1, 6001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    for links in (star, star.select(F.col("b").alias("a"), (-F.col("a")).alias("b"))):
+        assert {(r["a"], r["least"]) for r in _with_least(links).groupBy("a").agg(F.min("least").alias("least")).collect()} == {
+            (r["a"], r["b"]) for r in links.groupBy("a").agg(F.min("b").alias("b")).collect()}
+    shares = star.groupBy(F.pmod(F.xxhash64("b"), F.lit(SALTS))).count().agg(F.max("count")).first()[0]
+    assert shares < 200
+    got = components(star)
+    assert got.count() == 6001 and got.where("component <> 0").isEmpty()
+
+
+def test_pairs_are_tallied_then_verified():
+    """Four bits in four bytes pass; four bytes of more bits pass the tally only; four bits of few bytes pass both."""
+    differing = np.array([0, 0x01010101, 0x03010101, 0xF, 0x0101010101], np.uint64)
+    assert simhash._near(differing).tolist() == [True, True, False, True, False]
+    assert simhash._near(differing[:0]).tolist() == []
+
+
 # --- Jaccard -------------------------------------------------------------------------------------------------
 
 def sets_by_force(rows):
@@ -231,6 +250,13 @@ def test_removal_agrees_with_all_windows(spark, monkeypatch, hot, block):
     assert substrings.without_repeats(frame.where("false")).count() == 0
 
 
+def test_rows_repeated_many_times_with_passages_inside(spark):
+    rng = random.Random(9)
+    shared, text = (" ".join(f"w{rng.randrange(900)}" for _ in range(size)) for size in (60, 200))
+    rows = [(1, f"{shared} {text} {shared}")] * 400 + [(2, f"{text[:300]} and {shared}"), (3, "left alone " * 10)]
+    assert Counter(tuple(r) for r in substrings.without_repeats(docs_of(spark, rows)).collect()) == removed_by_force(rows)
+
+
 def test_hot_windows_and_blocks_in_the_shards(monkeypatch):
     """The steps inside tasks, run here so that the small limits surely hold."""
     monkeypatch.setattr(substrings, "HOT", 1)
