@@ -27,7 +27,8 @@ BANDS = 16
 LEAST = 0.8
 NOT_WORDS = r"[^\p{L}\p{N}]+"
 
-# Fixed: short license notices, as they are commonly written.
+# Fixed: license notices as they are commonly written, and the paragraphs of short licenses and of file headers, one
+# template each, so that an excerpt is found by the paragraphs that it holds.
 NOTICES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
@@ -40,6 +41,40 @@ NOTICES = {
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted "
            "provided that the following conditions are met",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "mit/permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                      "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+                      "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+                      "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+                      "furnished to do so, subject to the following conditions:",
+    "mit/warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+                    "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+                    "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+                    "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+                    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "isc/permission": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+                      "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+                      "copies.",
+    "bsd-3/endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+                         "or promote products derived from this software without specific prior written permission.",
+    "bsd/warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+                    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+                    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR "
+                    "ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+                    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+                    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+                    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF "
+                    "ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "apache-2.0/header": "you may not use this file except in compliance with the License. You may obtain a copy of the "
+                         "License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
+                         "to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+                         "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                         "language governing permissions and limitations under the License.",
+    "gpl-3.0/header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                      "General Public License as published by the Free Software Foundation, either version 3 of the "
+                      "License, or (at your option) any later version.",
+    "gpl/warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+                    "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+                    "License for more details.",
 }
 
 

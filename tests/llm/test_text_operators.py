@@ -230,6 +230,16 @@ def test_licenses_agree_with_all_windows(spark):
     assert licenses.licenses(rows.where("false")).count() == 0
 
 
+def test_excerpts_of_licenses_are_found_by_their_paragraphs(spark):
+    notices = licenses.NOTICES
+    body = (f"MIT License\n\nCopyright (c) 2020 Somebody\n\n{notices['mit/permission']}\n\nThe above copyright notice and "
+            f"this permission notice shall be included in all copies.\n\n{notices['mit/warranty']}")
+    commented = "\n".join(f" * {line}" for line in notices["apache-2.0/header"].replace(". ", ".\n").split("\n"))
+    texts = [body, body[len(body) // 2:], commented, f"code() {notices['gpl-3.0/header']} more " * 3, "We grant no permission."]
+    got = {(r["doc_id"], r["license"]) for r in licenses.licenses(docs_of(spark, *texts)).collect()}
+    assert got == {(0, "mit/permission"), (0, "mit/warranty"), (1, "mit/warranty"), (2, "apache-2.0/header"), (3, "gpl-3.0/header")}
+
+
 # --- decontamination -----------------------------------------------------------------------------------------
 
 def test_myers_is_the_least_distance_to_any_part():
