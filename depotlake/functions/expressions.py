@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.model import BUY, SELL
@@ -19,6 +19,14 @@ def holds(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names ignore case)."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def at(moment: datetime) -> Column:
     """A literal without time zone: neither the driver's zone nor the session's
     shifts it."""

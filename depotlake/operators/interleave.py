@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depotlake.functions.expressions import unused
 from depotlake.operators.quantiles import exact_quantiles
 
 #: Bits of a column's cell: borders are the quantiles of 1 / 2 ** CELL_BITS, so the driver holds 63 for each column.
@@ -23,10 +24,17 @@ def cell_borders(df: DataFrame, column: str) -> list:
 
 
 def _cell(column: str, limits: list) -> Column:
-    """How many borders are below the value."""
+    """How many borders are below the value, by halving: a row is compared with six of 63."""
     if not limits:
         return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, limits)), lambda limit: limit < F.col(column)))
+
+    def among(first: int, last: int) -> Column:
+        if first == last:
+            return F.lit(first)
+        middle = (first + last) // 2
+        return F.when(F.col(column) > F.lit(limits[middle]), among(middle + 1, last)).otherwise(among(first, middle))
+
+    return among(0, len(limits))
 
 
 def interleaved_place(borders: dict[str, list]) -> Column:
@@ -34,12 +42,24 @@ def interleaved_place(borders: dict[str, list]) -> Column:
     place = F.lit(0).cast("bigint")
     for turn, (column, limits) in enumerate(borders.items()):
         cell = _cell(column, limits)
-        for bit in range(CELL_BITS):
-            one = F.shiftright(cell, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            place = place.bitwiseOR(F.shiftleft(one, bit * len(borders) + turn))
+        # Bits of a cell move to places that the other columns leave free, in one table look-up.
+        spread = [sum(((value >> bit) & 1) << (bit * len(borders) + turn) for bit in range(CELL_BITS))
+                  for value in range(len(limits) + 1)]
+        place = place.bitwiseOR(F.element_at(F.array(*(F.lit(s).cast("bigint") for s in spread)), cell + 1))
     return place
 
 
+def interleaved(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """``df`` dealt and sorted by its interleaved place, as columns beside it: a sort computes an expression anew for
+    both rows of every comparison. A hash deals rows of one place."""
+    place, tie = unused(df, "_place"), unused(df, "_tie")
+    placed = df.withColumns({place: interleaved_place({column: cell_borders(df, column) for column in columns}),
+                             tie: F.xxhash64(*df.columns)})
+    order = [place, *columns, tie]
+    dealt = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).drop(place, tie)
+
+
 def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None) -> None:
     """Write ``df``, a stored table, in files that are ranges of the interleaved order.
 
@@ -48,10 +68,7 @@ def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], files: i
     with a third of all rows is one cell, cut further by the other columns and by a hash. ``files`` is left out but for a fixed
     number of files: adaptive execution then sizes them.
     """
-    place = interleaved_place({column: cell_borders(df, column) for column in columns})
-    order = [place, *map(F.col, columns), F.xxhash64(*df.columns)]
-    dealt = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    dealt.sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
+    interleaved(df, columns, files).write.option("compression", "zstd").parquet(path)
 
 
 def file_ranges(stored: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -13,7 +14,7 @@ import pytest
 from conftest import plan_of
 from depotlake.operators import asof
 from depotlake.operators.asof import as_of
-from depotlake.operators.interleave import cell_borders, interleaved_place, lookup_cost, write_interleaved
+from depotlake.operators.interleave import cell_borders, interleaved, interleaved_place, lookup_cost, write_interleaved
 from depotlake.operators.quantiles import exact_quantiles
 from depotlake.session import workspace
 
@@ -129,3 +130,18 @@ def test_places_take_turns_between_columns(spark):
     places = [r["p"] for r in df.select(interleaved_place({"a": [5], "b": [5]}).alias("p")).collect()]
     assert places == [0, 1, 2, 3, 2]
     assert df.select(interleaved_place({"a": []}).alias("p")).distinct().collect()[0]["p"] == 0
+
+
+def test_interleaved_order_sorts_by_columns_and_not_by_expressions(spark):
+    """A sort key is computed again in every comparison: 63 borders for each would take hours of a large table."""
+    df = spark.createDataFrame([(n, n % 50, None) for n in range(300)], "id int, a int, b int")
+    plan = plan_of(interleaved(df, ["a", "b"], 4)).splitlines()
+    sorts = [line for line in plan if re.search(r"\bSort \[|rangepartitioning\(", line)]
+    assert sorts and not any(re.search(r"CASE|filter\(|xxhash64|shift", line) for line in sorts), sorts
+
+
+def test_cells_count_the_borders_below(spark):
+    limits = list(range(10, 640, 10))
+    df = spark.createDataFrame([(n,) for n in [None, *range(0, 700, 5)]], "a int")
+    got = df.select("a", interleaved_place({"a": limits}).alias("p")).collect()
+    assert all(r["p"] == sum(limit < r["a"] for limit in limits if r["a"] is not None) for r in got)
