@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlake.functions.expressions import by_side, cash_flow, rounded, total, vwap
@@ -10,10 +10,14 @@ from depotlake.model import BROKER_KEYS, DAILY_KEYS, PAIR_KEY, POSITION_KEYS
 
 
 def daily_security(silver: DataFrame) -> DataFrame:
-    """Per day, security and channel. The one distinct count spreads a hot
-    group over its investors before the final merge."""
+    """Per day, security and channel.
+
+    Rows are dealt by day and security once, with the columns the mart needs, and stay there: a distinct count would
+    otherwise shuffle buffers, hardly fewer than the rows, a second time, and hash them before the first.
+    """
     zero = F.lit(0).cast("decimal(20,4)")
-    return silver.groupBy(*DAILY_KEYS).agg(
+    rows = silver.select(*DAILY_KEYS, "amount", "qty", "commission", "side", "investor_id", "price")
+    return rows.repartition("trade_date", "security_id").groupBy(*DAILY_KEYS).agg(
         F.count(F.lit(1)).alias("trade_count"),
         total("amount", "decimal(24,4)").alias("volume"),
         total("qty", "decimal(24,4)").alias("total_qty"),
@@ -38,13 +42,24 @@ def positions(silver: DataFrame) -> DataFrame:
     ).filter(F.col("net_qty") != 0)
 
 
+def _first_of(column: str) -> Column:
+    """Whether a row is the one that counts for its value within its group; a missing value counts nowhere."""
+    place = F.row_number().over(Window.partitionBy(*BROKER_KEYS, column).orderBy(column))
+    return F.col(column).isNotNull() & (place == 1)
+
+
 def broker_daily(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(*BROKER_KEYS).agg(
+    """Per day, broker and channel. Rows are dealt by day and broker once; two distinct counts in one aggregate would
+    shuffle each row twice over, and the groups again."""
+    rows = silver.select(*BROKER_KEYS, "amount", "commission", "investor_id", "security_id")
+    dealt = rows.repartition("trade_date", "broker_id").withColumn("_investor", _first_of("investor_id")).withColumn(
+        "_security", _first_of("security_id"))
+    return dealt.groupBy(*BROKER_KEYS).agg(
         F.count(F.lit(1)).alias("trade_count"),
         total("amount", "decimal(24,4)").alias("volume"),
         total("commission", "decimal(20,4)").alias("total_commission"),
-        F.count_distinct("investor_id").alias("unique_investors"),
-        F.count_distinct("security_id").alias("unique_securities"),
+        F.count_if("_investor").alias("unique_investors"),
+        F.count_if("_security").alias("unique_securities"),
     )
 
 
