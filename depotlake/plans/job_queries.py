@@ -326,7 +326,7 @@ def retention_plan(spark, folder):
 def orphan_files(spark, folder):
     """A write that died before its commit is the only thing reported."""
     store = published_trades(spark, folder, "orphans")
-    stray = tables.trades(spark, folder).repartition(3)
+    stray = tables.trades(spark, folder).repartition(tables.tasks_for_trades(spark, folder, 3))
     stray.write.parquet(f"{store.data_folder(jobs.BRONZE)}/v=9-deadbeef")
     later = datetime.now(timezone.utc) + timedelta(days=4)
     found = upkeep.orphan_files(store, jobs.BRONZE, later)

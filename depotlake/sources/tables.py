@@ -38,6 +38,16 @@ def _priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Trades that one task may take where a query fixes the number of its tasks: some 80 MB shuffled.
+ROWS_PER_TASK = 1_000_000
+
+
+def tasks_for_trades(spark: SparkSession, folder: str, least: int) -> int:
+    """``least`` tasks, or as many times that as the trades need; counted from file footers."""
+    rows = table(spark, folder, "lineitem").count()
+    return least * max(1, -(-rows // (least * ROWS_PER_TASK)))
+
+
 def trades(spark: SparkSession, folder: str) -> DataFrame:
     """Every trade message, repeated keys included."""
     return _priced_lines(spark, folder).drop("tax", "discount")
