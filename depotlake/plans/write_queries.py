@@ -20,7 +20,7 @@ from depotlake.plans.jobs import DAILY_MONTHLY, MONTHLY, audit_bronze
 from depotlake.plans.lake_queries import silver_trades
 from depotlake.plans.registry import LATEST, SILVER, TRADES, query, sql
 from depotlake.plans.report_queries import QUARTER
-from depotlake.session import workspace
+from depotlake.session import shuffles_removed, workspace
 from depotlake.sources import tables, writers
 from depotlake.sources.store import MAIN, Store
 from depotlake.streaming.ingest import stream_upsert
@@ -82,12 +82,15 @@ def partition_overwrite(spark, folder):
     select * from t where trade_ts < timestamp '2001-01-01'"""))
 def full_refresh_idempotent(spark, folder):
     """A second full load, twice, from a source that has shrunk leaves nothing behind."""
-    path = workspace(spark, "refresh")
-    rows = tables.trades(spark, folder).withColumn("trade_month", month_of("trade_ts"))
-    writers.full_refresh(rows, path, ["trade_month"])
-    shrunk = rows.filter(F.col("trade_ts") < at(CUTOVER))
-    for _ in range(2):
-        writers.full_refresh(shrunk, path, ["trade_month"])
+    path, source = workspace(spark, "refresh"), workspace(spark, "refresh-source")
+    # The three loads read one delivery, so that the trades are put together once.
+    with shuffles_removed(spark):
+        tables.trades(spark, folder).write.parquet(source)
+        rows = spark.read.parquet(source).withColumn("trade_month", month_of("trade_ts"))
+        writers.full_refresh(rows, path, ["trade_month"])
+        shrunk = rows.filter(F.col("trade_ts") < at(CUTOVER))
+        for _ in range(2):
+            writers.full_refresh(shrunk, path, ["trade_month"])
     return _plain(spark.read.parquet(path))
 
 
@@ -188,12 +191,13 @@ def streamed(spark, folder):
     """All trade messages as change files in four micro-batches: the table ends
     up with the latest version of every trade."""
     scratch = workspace(spark, "stream")
-    feed = tables.trades(spark, folder).repartitionByRange(4, "updated_ts")
+    files = tables.tasks_for_trades(spark, folder, 4)
+    feed = tables.trades(spark, folder).repartitionByRange(files, "updated_ts")
     feed.write.parquet(f"{scratch}/feed")
     store = Store(spark, f"{scratch}/store")
     stream_upsert(store, "trade", f"{scratch}/feed", TRADE, f"{scratch}/checkpoint",
                   "stream_upsert", lambda batch: audit_bronze(batch, unique=False, rules=null_rules(REQUIRED)),
-                  layout=MONTHLY, sort_by=("trade_ts",), files_per_batch=1)
+                  layout=MONTHLY, sort_by=("trade_ts",), files_per_batch=files // 4)
     return _plain(store.read("trade"))
 
 
