@@ -200,6 +200,23 @@ def test_runs_query_agrees_with_every_period(spark):
         assert row["collapsed_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_sums_of_whitening_take_one_job_each(spark):
+    """A local iterator started a job for each reducer, so 211 reducers meant some 800 jobs in turn."""
+    rows = spark.createDataFrame([(k, [float(k % 3), float(k % 5), 1.0]) for k in range(40)], "vec_id long, embedding array<float>")
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("whitening jobs", "")
+    try:
+        assert whitening.whitened(rows).count() == 40 * 2
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("whitening jobs")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(jobs) < 20
+
+
 # --- token counts --------------------------------------------------------------------------------------------
 
 def odd_texts() -> list[str]:
