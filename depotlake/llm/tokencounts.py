@@ -2,13 +2,15 @@
 
 An Arrow function gets the texts of a record batch, cuts long ones into pieces at safe boundaries, packs the pieces
 into batches of about ``BATCH_BYTES`` and lets the library encode one batch at a time; only lengths are kept, so
-memory follows the size of a batch, not that of a text or of a record batch.
+memory follows the size of a batch, not that of a text or of a record batch. Where a blank is a safe boundary wherever it
+follows a letter, digit or sign, a piece is encoded word by word, and a word that came before is counted from memory.
 
 A boundary is safe if the library makes the same tokens of both sides apart as of the whole:
 
 * Byte-level BPE cuts words by its pattern before it merges. No word of the pattern goes on from a letter or a digit
   to anything of another class, nor from a sign to white space or a digit, and none looks back. A sign before a letter is no
-  boundary (contractions), nor is any place inside a special token.
+  boundary (contractions), nor is any place inside a special token. So a piece is cut into words that take the white space
+  before them along, unless it holds a special token or a blank beyond ASCII, which classes may tell otherwise.
 * A sentencepiece vocabulary without pieces that hold a blank behind another letter never merges across a blank
   between two ASCII letters or digits. The blank goes, as the library puts one before each text.
 
@@ -22,6 +24,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -33,6 +37,18 @@ BATCH_BYTES = 1 << 18
 PIECE_CHARS = 1 << 16
 # Longest stretch in which one step looks for a boundary; without one the search goes on in the next stretch.
 STRETCH = 4_096
+# Words whose counts a worker remembers, and the longest of them; a full memory starts anew.
+MAX_WORDS = 400_000
+WORD_CHARS = 64
+
+# White space before a word goes with it, as in the pattern of byte-level BPE; Latin letters end before an ASCII sign.
+WORDS = re.compile(r"[ \t\n\r\x0b\x0c]*+(?:[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u017f]++(?=[!-/:-@\[-`{-~])|[^ \t\n\r\x0b\x0c]++)"
+                   r"|[ \t\n\r\x0b\x0c]++")
+# Blanks beyond these, and letters that some classify as blanks.
+ODD_BLANKS = re.compile("[%s]" % "".join(
+    letter for letter in map(chr, range(sys.maxunicode + 1)) if letter not in " \t\n\r\x0b\x0c" and (
+        letter.isspace() or unicodedata.category(letter) in ("Zs", "Zl", "Zp")
+        or letter in "\u180e\u200b\u200c\u200d\u2060\ufeff")))
 
 
 def _kind(letter: str) -> str:
@@ -92,6 +108,7 @@ class Counter:
         self.safe: Callable[[str, int], bool] | None = None
         self.special: list[str] = []
         self.drop = 0
+        self.known: dict[str, int] | None = None
         if path.endswith(".model"):
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -115,6 +132,28 @@ class Counter:
                     and content.get("normalizer") is None and not any(
                         token["lstrip"] or token["rstrip"] or token["single_word"] for token in added)):
                 self.safe, self.special = _byte_level_cut, [token["content"] for token in added]
+                if not content["model"].get("dropout"):  # merges left out at random make other counts each time
+                    self.known = {}
+
+    def _encoded(self, batch: list[str]) -> list[int]:
+        """The numbers of tokens of pieces."""
+        if self.known is None:
+            return self.encode(batch)
+        if len(self.known) > MAX_WORDS:
+            self.known.clear()
+        known = self.known
+        cut = [None if ODD_BLANKS.search(piece) or any(token in piece for token in self.special) else WORDS.findall(piece)
+               for piece in batch]
+        new = list(set().union(*(words for words in cut if words)).difference(known))
+        whole = [piece for piece, words in zip(batch, cut) if words is None]
+        found = self.encode(new + whole)
+        known.update(zip(new, found))
+        rest = iter(found[len(new):])
+        counts = [next(rest) if words is None else sum(map(known.__getitem__, words)) for words in cut]
+        for word in new:
+            if len(word) > WORD_CHARS:
+                del known[word]
+        return counts
 
     def count(self, texts: list[str | None]) -> list[int]:
         counts = [0] * len(texts)
@@ -123,7 +162,7 @@ class Counter:
         size = 0
 
         def flush() -> None:
-            for owner, number in zip(owners, self.encode(batch)):
+            for owner, number in zip(owners, self._encoded(batch)):
                 counts[owner] += number
             batch.clear()
             owners.clear()

@@ -253,6 +253,23 @@ def test_token_counts_are_those_of_the_library(spark):
     assert docs_of(spark, "a").where("false").select(tokencounts.n_tokens(F.col("text"), queries.TOKENIZER)).count() == 0
 
 
+def test_words_are_encoded_once(monkeypatch):
+    from tokenizers import Tokenizer
+    known, counter, sent = Tokenizer.from_file(queries.TOKENIZER), tokencounts.Counter(queries.TOKENIZER), []
+    encode = counter.encode
+    monkeypatch.setattr(counter, "encode", lambda texts: [sent.extend(texts), encode(texts)][1])
+    text = "The cat's 2 hats,\n\n  'twas \tsaid  " * 500
+    assert counter.count([text, text]) == [len(known.encode(text, add_special_tokens=False))] * 2
+    assert sum(map(len, sent)) < 200
+    monkeypatch.setattr(tokencounts, "MAX_WORDS", 3)
+    odd = ["a \u2003 b", "a\x1c b \x1c c", "x\u3000 y ", "a\u200b b", "<|endoftext|> a <|endoftext|>", "w" * 500 + " w", "\x85 a\xa0 "]
+    rng = random.Random(2)
+    odd += ["".join(chr(rng.choice((32, 10, rng.randrange(0x2100), rng.randrange(0x3000, 0x3100)))) for _ in range(80))
+            for _ in range(300)]
+    assert counter.count(odd) == [len(known.encode(text, add_special_tokens=False)) for text in odd]
+    assert max(map(len, counter.known)) <= tokencounts.WORD_CHARS
+
+
 def test_token_query_agrees_with_the_library(spark):
     from tokenizers import Tokenizer
     known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
