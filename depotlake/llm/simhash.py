@@ -55,7 +55,11 @@ def shingle_hashes(text: str | None, size: int) -> np.ndarray:
 
 def simhash(text: str | None, size: int = SHINGLE_WORDS) -> int:
     """The signed 64-bit fingerprint; a bit is set if more than half of the shingles' hashes have it."""
-    hashes = shingle_hashes(text, size)
+    return of_hashes(shingle_hashes(text, size))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The signed fingerprint of shingles given by their hashes; zero for none."""
     if not len(hashes):
         return 0
     counts = np.zeros(64, np.int64)

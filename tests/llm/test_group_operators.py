@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from depotlake.llm import components as components_module
 from depotlake.llm import jaccard, queries, simhash, substrings, topk
 from depotlake.llm.components import SALTS, _with_least, components
 
@@ -193,6 +194,37 @@ def test_pairs_that_pivots_leave_apart_are_still_met():
     assert set(found.itertuples(index=False, name=None)) == {(a, b) for b in range(6) for a in range(b)} - {(0, 1)}
 
 
+def test_fingerprints_within_four_bits_are_candidates(spark, monkeypatch):
+    """The stage links copies that only fingerprints put forward; a pair within the bits that shares too little is no link."""
+    rng = random.Random(5)
+    values = [rng.getrandbits(63) for _ in range(6)]
+    fps = [v ^ sum(1 << bit for bit in rng.sample(range(60), k)) for v in values for k in (0, 0, 3, 4, 9)]
+    prints = spark.createDataFrame([(100 + k, fp) for k, fp in enumerate(fps)], "sig long, fp long")
+    near = [(100 + a, 100 + b) for b in range(len(fps)) for a in range(b) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    got = [(r["a"], r["b"]) for r in jaccard._by_fingerprint(prints).collect()]
+    nodes = [r["sig"] for r in prints.collect()]
+    assert near and set(got) <= set(near) and union_find(nodes, got) == union_find(nodes, near)
+
+    def no_pairs(frames):
+        for frame in frames:
+            yield frame[:0].rename(columns={"sig": "a"}).assign(kind=0, b=0)[["kind", "key", "a", "b", "n", "pos"]]
+
+    monkeypatch.setattr(jaccard, "_with_pivots", no_pairs)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, "end"])), (3, "other words of one text here")]
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs_of(spark, rows)).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    def no_round(links):
+        raise AssertionError("links that are stars went through a round")
+
+    monkeypatch.setattr(components_module, "_toward_least", no_round)
+    links = spark.createDataFrame([(1, 5), (7, 1), (9, 8), (8, 9), (3, 3)], "a long, b long")
+    assert {r["node"]: r["component"] for r in components(links).collect()} == {1: 1, 5: 1, 7: 1, 8: 8, 9: 8}
+
+
 def test_the_stage_drops_edited_copies(spark):
     rng = random.Random(3)
     base = [[f"w{rng.randrange(500)}" for _ in range(70)] for _ in range(20)]
