@@ -27,10 +27,27 @@ from depotlake.sources.store import FILE, FILE_ROW, MAIN, Store
 IDENTITY = ("trade_id", "investor_id", "security_id", "trade_ts", "updated_ts")
 
 
-def sorted_inside(rows: DataFrame, column: str) -> DataFrame:
-    """``rows`` read with their files, with a flag on those that follow a greater value in their file."""
-    place = Window.partitionBy(FILE).orderBy(FILE_ROW)
-    return rows.withColumn("out_of_order", F.coalesce(F.lag(column).over(place) > F.col(column), F.lit(False)))
+# Rows of a file whose order one task looks at together; some 100 MB of memory.
+ORDER_BLOCK = 1 << 20
+
+
+def sorted_inside(rows: DataFrame, column: str, *others: str, block: int = ORDER_BLOCK) -> DataFrame:
+    """``column`` and ``others`` of ``rows`` read with their files, with a flag on those that follow a greater value
+    in their file.
+
+    Files are known by a hash and cut into blocks of rows, so a task holds neither paths nor a whole file. The last row
+    of a block also goes to the next one, where nothing but the first row there is held against it; two files of one
+    hash, which is improbable, would be taken for one.
+    """
+    number = F.floor(F.col(FILE_ROW) / block)
+    ends = F.pmod(F.col(FILE_ROW), F.lit(block)) == block - 1
+    blocks = F.when(ends, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    placed = rows.select(F.xxhash64(FILE).alias("_of"), F.col(FILE_ROW).alias("_at"), number.alias("_block"), column,
+                         *others, F.explode(blocks).alias("_on"))
+    placed = placed.withColumn("_block", F.col("_block") + F.col("_on"))
+    last = F.lag(column).over(Window.partitionBy("_of", "_block").orderBy("_at"))
+    flagged = placed.withColumn("out_of_order", F.coalesce(last > F.col(column), F.lit(False)))
+    return flagged.where("_on = 0").select(column, *others, "out_of_order")
 
 
 _published: dict[tuple, Store] = {}
@@ -307,7 +324,8 @@ def clustered_layout(spark, folder):
     """What each month folder of the stored table holds, and how many rows of its files come
     after a later one."""
     store = published_trades(spark, folder, "clustered")
-    return sorted_inside(store.read(jobs.BRONZE, with_file=True), "trade_ts").groupBy("trade_month").agg(
+    rows = store.read(jobs.BRONZE, with_file=True)
+    return sorted_inside(rows, "trade_ts", "trade_month").groupBy("trade_month").agg(
         F.count(F.lit(1)).alias("rows"), F.min("trade_ts").alias("first_trade"),
         F.max("trade_ts").alias("last_trade"), F.count_if("out_of_order").alias("out_of_order"))
 

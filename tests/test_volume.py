@@ -9,8 +9,9 @@ from depotlake.operators import marts
 from depotlake.plans import job_queries, jobs, write_queries
 from depotlake.session import SHUFFLE_CLEANUP
 from depotlake.sources import tables, writers
-from depotlake.sources.store import MAIN
+from depotlake.sources.store import FILE, FILE_ROW, MAIN
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -77,3 +78,24 @@ def test_the_serving_copy_of_the_daily_mart_is_not_shuffled(spark, monkeypatch):
     names = store.columns(jobs.DAILY)
     mart, copy = (store.read(t).select(*names) for t in (jobs.DAILY, jobs.SERVING_DAILY))
     assert mart.exceptAll(copy).isEmpty() and copy.exceptAll(mart).isEmpty()
+
+
+def test_the_order_inside_files_is_looked_at_by_blocks_of_rows(spark):
+    """Files of one row and of many, with repeats, NULLs and borders of blocks in falling and rising places."""
+    values = {"a": [5, 4, 4, None, 3, 9, 1, 1, 2, 0], "b": [7], "c": list(range(40)), "d": [None, None, 3, 2]}
+    rows = spark.createDataFrame([(f"file:/{name}", at, value, name) for name, held in values.items()
+                                  for at, value in enumerate(held)], f"{FILE} string, {FILE_ROW} long, v int, month string")
+    expected = sorted((name, str(value), at > 0 and None not in (value, held[at - 1]) and held[at - 1] > value)
+                      for name, held in values.items() for at, value in enumerate(held))
+    for block in (1, 3, 5, 1000):
+        flagged = job_queries.sorted_inside(rows, "v", "month", block=block)
+        assert sorted((r["month"], str(r["v"]), r["out_of_order"]) for r in flagged.collect()) == expected
+    # Paths are not shuffled, and one file goes to several tasks.
+    exchanged = [line for line in plan_of(flagged).splitlines() if "Exchange" in line]
+    assert exchanged and not any(FILE + "#" in line for line in exchanged)
+    tasks = job_queries.sorted_inside(rows.where("month = 'c'"), "v", block=3).select(F.spark_partition_id()).distinct()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert tasks.count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
