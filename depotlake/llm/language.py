@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,14 +58,17 @@ class LanguageModel:
     scores: np.ndarray                 # log frequency, one column for each language
 
 
-def _log_table(rows, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    place = {language: k for k, language in enumerate(languages)}
+def _log_table(rows: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """The row of each term and its log frequencies, of ``term, by_lang`` as Arrow columns: one object for each term
+    and none for its counts, as the driver holds all of them."""
+    by_lang = rows["by_lang"].combine_chunks()
+    entries = by_lang.flatten()
     counts = np.zeros((len(rows), len(languages)))
-    for k, row in enumerate(rows):
-        for entry in row["by_lang"]:
-            counts[k, place[entry["lang"]]] = entry["n"]
+    place = pc.index_in(entries.field("lang"), value_set=pa.array(languages, pa.string())).to_numpy(zero_copy_only=False)
+    at = np.repeat(np.arange(len(rows)), pc.list_value_length(by_lang).to_numpy(zero_copy_only=False))
+    counts[at, place] = entries.field("n").to_numpy(zero_copy_only=False)
     totals = counts.sum(axis=0) + SMOOTHING * max(1, len(rows))
-    return {row["term"]: k for k, row in enumerate(rows)}, np.log((counts + SMOOTHING) / totals)
+    return {term: k for k, term in enumerate(rows["term"].to_pylist())}, np.log((counts + SMOOTHING) / totals)
 
 
 def _pieces(word: Column) -> Column:
@@ -102,7 +107,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_keys:
     def frequent(terms: DataFrame, limit: int):
         by_lang = terms.groupBy("term", "lang").agg(F.sum("n").alias("n")).groupBy("term").agg(
             F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang"))
-        return by_lang.orderBy(F.desc("total"), "term").limit(limit).collect()
+        return by_lang.orderBy(F.desc("total"), "term").limit(limit).select("term", "by_lang").toArrow()
 
     words, word_scores = _log_table(frequent(counted, MAX_WORDS), languages)
     letters, gram_scores = _log_table(frequent(grams, MAX_GRAMS), languages)

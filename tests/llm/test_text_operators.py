@@ -8,7 +8,9 @@ import random
 import re
 import time
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,6 +314,21 @@ def test_language_words_then_grams(spark, tongues):
     assert word == "de" and score == pytest.approx(1.0)
 
 
+def test_language_tables_come_from_arrow_columns():
+    """The driver makes no row objects of the collected counts."""
+    kind = pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))
+    terms = pa.chunked_array([["der", "die"], [], ["the"]], pa.string())
+    counts = pa.chunked_array([[[{"lang": "en", "n": 2}, {"lang": "de", "n": 5}], [{"lang": "de", "n": 4}]], [],
+                               [[{"lang": "en", "n": 7}]]], kind)
+    place, scores = language._log_table(pa.table({"term": terms, "by_lang": counts}), ["de", "en"])
+    assert place == {"der": 0, "die": 1, "the": 2}
+    held = np.array([[5, 2], [4, 0], [0, 7]]) + language.SMOOTHING
+    assert np.allclose(scores, np.log(held / (np.array([9, 9]) + 3 * language.SMOOTHING)))
+    nothing = pa.table({"term": pa.array([], pa.string()), "by_lang": pa.array([], kind)})
+    place, scores = language._log_table(nothing, ["de"])
+    assert place == {} and scores.shape == (0, 1)
+
+
 @pytest.mark.parametrize("text", ["m²", "H₂O x²", "x½", "5 m²", "a_b", "ⅷa"])
 def test_letters_beside_other_signs_have_a_language(spark, tongues, text):
     speaker = language.Predictor(language.learn(tongues, sample_keys=["doc_id"]))
