@@ -31,7 +31,10 @@ def matches(target: DataFrame, changes: DataFrame, key: str, stamp: str,
 
 def without(rows: DataFrame, keys: DataFrame, key: str,
             limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    return rows.join(broadcast_if_small(keys.select(key), limit), key, "left_anti")
+    """``rows`` whose key is not among ``keys``. Rows without a key match nothing and stay out of the join, whose
+    shuffle would bring all of them to one task."""
+    keyed = rows.filter(F.col(key).isNotNull()).join(broadcast_if_small(keys.select(key), limit), key, "left_anti")
+    return keyed.select(*rows.columns).unionByName(rows.filter(F.col(key).isNull()))
 
 
 def merge(target: DataFrame, source: DataFrame, key: str = TRADE_KEY,

@@ -497,11 +497,12 @@ _KEYLESS = "case when trade_id % 5 = 0 then null else trade_id end"
     select * replace ({_KEYLESS} as trade_id) from d
     union all select * replace (null as trade_id) from d where trade_id % 5 = 0"""))
 def upsert_null_keys(spark, folder):
-    """Rows without a key match nothing: those of the table stay, those of the feed are added."""
+    """Rows without a key match nothing: those of the table stay, those of the feed are added. The feed sends the
+    rows that were loaded again, as stored, so that the trades are put together and ranked once."""
     rows = latest_per_key(tables.trades(spark, folder)).withColumn("trade_id", F.expr(_KEYLESS))
     store = new_store(spark, "keyless")
-    store.write("trade", rows, MAIN, "load", MONTHLY)
-    upsert_into(store, "trade", rows, MAIN)
+    loaded = store.write("trade", rows, MAIN, "load", MONTHLY)
+    upsert_into(store, "trade", _plain(store.read("trade", version=loaded)), MAIN)
     return _plain(store.read("trade"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from conftest import plan_of
-from depotlake.operators import marts
+from depotlake.operators import marts, upsert
 from depotlake.plans import job_queries, jobs, write_queries
 from depotlake.session import SHUFFLE_CLEANUP
 from depotlake.sources import tables, writers
@@ -99,3 +99,28 @@ def test_the_order_inside_files_is_looked_at_by_blocks_of_rows(spark):
         assert tasks.count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_rows_without_a_key_stay_out_of_the_join(trade_rows):
+    rows = trade_rows({"trade_id": None}, {"trade_id": None, "broker_id": 7}, {"trade_id": 1}, {"trade_id": 2})
+    rest = upsert.without(rows, trade_rows({"trade_id": 2}, {"trade_id": None}), "trade_id", limit=0)
+    assert rest.columns == rows.columns
+    assert sorted((r["trade_id"] or 0, r["broker_id"]) for r in rest.collect()) == [(0, 5), (0, 7), (1, 5)]
+    # One shuffle for each side of the join, of rows that have a key; the others reach the union as they are.
+    assert rest._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1
+
+
+def test_the_keyless_feed_is_read_from_the_store(spark, trade_rows, monkeypatch):
+    rows = trade_rows(*({"trade_id": key} for key in (1, 2, 5, 10, 10)))
+    monkeypatch.setattr(tables, "trades", lambda spark, folder: rows)
+    feeds = []
+
+    def kept(store, table, feed, ref):
+        feeds.append(feed)
+        return upsert.upsert_into(store, table, feed, ref)
+
+    monkeypatch.setattr(write_queries, "upsert_into", kept)
+    found = sorted((r["trade_id"] or 0) for r in write_queries.upsert_null_keys(spark, "unused").collect())
+    assert found == [0, 0, 0, 0, 1, 2]
+    # Neither the delivery nor its ranks are worked out a second time.
+    assert "FileScan parquet" in plan_of(feeds[0]) and "Window" not in plan_of(feeds[0])
