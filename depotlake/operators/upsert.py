@@ -166,7 +166,8 @@ def _upsert(store: Store, table: str, changes: DataFrame, ref: str, key: str,
     # As many values as the table has parts with a replaced row.
     dropped = [r[PART] for r in hit.filter("newer").select(PART).distinct().collect()]
     fresh = without(changes, hit.filter("not newer"), key).select(*names)
-    if not dropped and fresh.isEmpty():
+    # A row without a key is fresh, which a scan tells; only else the join is asked.
+    if not dropped and changes.filter(F.col(key).isNull()).isEmpty() and fresh.isEmpty():
         store.files.remove(scratch)
         return current
     rows = fresh

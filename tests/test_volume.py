@@ -124,3 +124,14 @@ def test_the_keyless_feed_is_read_from_the_store(spark, trade_rows, monkeypatch)
     assert found == [0, 0, 0, 0, 1, 2]
     # Neither the delivery nor its ranks are worked out a second time.
     assert "FileScan parquet" in plan_of(feeds[0]) and "Window" not in plan_of(feeds[0])
+
+
+def test_a_feed_with_rows_without_a_key_needs_no_join_to_be_new(store, trade_rows, monkeypatch):
+    store.write("trade", trade_rows({"trade_id": 1}), MAIN, "load")
+    feed, asked = trade_rows({"trade_id": 1}, {"trade_id": None}), []
+    monkeypatch.setattr(type(feed), "isEmpty", lambda df, own=type(feed).isEmpty: asked.append(plan_of(df)) or own(df))
+    upsert.upsert_into(store, "trade", feed, MAIN)
+    assert sorted(r["trade_id"] or 0 for r in store.read("trade").collect()) == [0, 1]
+    assert asked and not any("Join" in plan for plan in asked)
+    asked.clear()
+    assert upsert.upsert_into(store, "trade", trade_rows({"trade_id": 1}), MAIN) == 2
