@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -187,6 +188,32 @@ def test_jaccard_groups_agree_with_all_pairs(spark, frequent, monkeypatch):
         [*union_find(sets, links).items(), (None, None), (rows[9][0], union_find(sets, links)[rows[9][0]])])
 
 
+def test_sets_are_made_of_a_few_texts_at_a_time(monkeypatch):
+    """A worker holds the sets of a slice of its batch, and rows keep their order, NULL and long texts too."""
+    monkeypatch.setattr(jaccard, "SLICE_ROWS", 4)
+    monkeypatch.setattr(jaccard, "SLICE_CHARS", 40)
+    texts = [None, "a b", "x " * 60, "", *(f"w{k}" for k in range(12)), "y " * 60, "z " * 60]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string()),
+                                        pa.array([0] * len(texts))], ["doc_id", "text", "text_hash"])
+    made = list(jaccard._described(None)(iter([batch, batch[:0]])))
+    assert max(part.num_rows for part in made) == 4 and len(made) > 5
+    table = pa.Table.from_batches(made)
+    assert table["doc_id"].to_pylist() == list(range(len(texts)))
+    assert table["shingles"].to_pylist() == [jaccard.shingles(text).view(np.int64).tolist() for text in texts]
+
+
+def test_sets_are_shuffled_to_one_only_where_rows_repeat(spark, monkeypatch):
+    asked, similar = [], jaccard._similar
+    monkeypatch.setattr(jaccard, "_similar", lambda *args: asked.append(args[-1]) or similar(*args))
+    base = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, "end"])), (3, "of its own")]
+    for more in ([], [rows[0]] * 2):
+        got = jaccard.near_duplicates(docs_of(spark, rows + more)).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3} and len(got) == 3 + len(more)
+        assert set(asked) == {bool(more)}
+        asked.clear()
+
+
 def test_pairs_that_pivots_leave_apart_are_still_met():
     """Every open pair of unlike components is put forward, by lists over several batches too."""
     rows = pd.DataFrame({"key": [1] * 6 + [2] * 3, "sig": [*range(6), 0, 1, 2], "n": 50, "pos": 0, "root": [0, 0, 2, 3, 4, 5, 0, 0, 0]})
