@@ -14,19 +14,64 @@ from depotlake.model import LATEST_FIRST, TRADE_KEY
 from depotlake.operators.dedup import latest_per_key
 from depotlake.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from depotlake.session import shuffles_removed, workspace
-from depotlake.sources.store import PART, ConflictError, Store
+from depotlake.sources.store import FILE, FILE_BYTES, FILE_ROW, PART, ConflictError, Store
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+# Columns of a row's place, and the rows that a bitmap of places covers.
+PLACE = ("_in", "_row")
+MARK_BITS = 15
+MARK_ROWS = 1 << MARK_BITS
 
 
 def matches(target: DataFrame, changes: DataFrame, key: str, stamp: str,
             limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Target rows some change refers to, and whether the change is strictly newer.
     Only keys and stamps are read; the target is not shuffled for a small batch."""
-    batch = broadcast_if_small(changes.select(key, F.col(stamp).alias("_change")), limit)
-    kept = [c for c in (PART,) if c in target.columns]
+    places = [F.col(c).alias(f"_change{c}") for c in PLACE if c in changes.columns]
+    batch = broadcast_if_small(changes.select(key, F.col(stamp).alias("_change"), *places), limit)
+    own = [c for c in (PART, *PLACE) if c in target.columns]
     newer = holds(F.col("_change") > F.col(stamp)).alias("newer")
-    return target.select(key, stamp, *kept).join(batch, key).select(key, *kept, newer)
+    sent = [c for c in batch.columns if c not in (key, "_change")]
+    return target.select(key, stamp, *own).join(batch, key).select(key, *own, *sent, newer)
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows of ``Store.read`` with their files, with their place instead: a hash of the file, and the row in it. Two
+    files of one hash, which is improbable, would be taken for one."""
+    own = [c for c in rows.columns if c not in (FILE, FILE_BYTES, FILE_ROW)]
+    return rows.select(*own, F.xxhash64(FILE).alias(PLACE[0]), F.col(FILE_ROW).alias(PLACE[1]))
+
+
+def marks(places: DataFrame) -> DataFrame:
+    """Places as bitmaps, one for every ``MARK_ROWS`` rows of a file that hold any."""
+    file, row = places.columns
+    blocks = places.select(F.col(file).alias("_marked"), F.shiftright(row, MARK_BITS).alias("_block"),
+                           F.col(row).bitwiseAND(MARK_ROWS - 1).alias("_at"))
+    # Dealt as places, which are smaller than the bitmaps that every task would have of its own.
+    return blocks.repartition("_marked", "_block").groupBy("_marked", "_block").agg(
+        F.bitmap_construct_agg("_at").alias("_bits"))
+
+
+def _met(rows: DataFrame, marked: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """``rows`` with the bitmap of their block, and their bit of it."""
+    file, row = (F.col(c) for c in PLACE)
+    at = row.bitwiseAND(MARK_ROWS - 1)
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, at.bitwiseAND(7).cast("int")).bitwiseAND(1)
+    return rows.join(marked, (file == F.col("_marked")) & (F.shiftright(row, MARK_BITS) == F.col("_block")), how), bit
+
+
+def unmarked(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows whose places are not in the bitmaps ``marked``. Bitmaps take an eighth of a byte a row, so that rows
+    stay where they are up to half a billion of them; beyond it they meet by file and block."""
+    met, bit = _met(rows, broadcast_if_small(marked, BROADCAST_LIMIT_BYTES), "left")
+    return met.filter(F.col("_bits").isNull() | (bit == 0)).select(*rows.columns)
+
+
+def at_marks(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows whose places are in the bitmaps ``marked``."""
+    met, bit = _met(rows, marked, "inner")
+    return met.filter(bit == 1).select(*rows.columns)
 
 
 def without(rows: DataFrame, keys: DataFrame, key: str,
@@ -146,10 +191,21 @@ def part_values(folder: str) -> dict[str, str | None]:
     return {name: None if value == NULL_FOLDER else unquote(value) for name, value in pairs}
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read again, as more than one job asks for it."""
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _upsert(store: Store, table: str, changes: DataFrame, ref: str, key: str,
             newest_first: Sequence[str], sort_by: Sequence[str], layout: Mapping[str, str] | None,
             batch: tuple[str, int] | None, immutable: Sequence[str] = ()) -> int:
-    """One attempt, from the version the ref shows now to the next one."""
+    """One attempt, from the version the ref shows now to the next one.
+
+    Keys meet once, with the places of their rows. What is left out of the table and of the batch is then told by
+    bitmaps of places, so neither is shuffled for it.
+    """
     current = store.state(ref).get(table)
     if current and batch and store.applied_in(table, current, batch[0]) >= batch[1]:
         return current
@@ -159,21 +215,28 @@ def _upsert(store: Store, table: str, changes: DataFrame, ref: str, key: str,
     scratch = workspace(spark, "upsert")
     names = [c["name"] for c in store.manifest(table, current)["columns"]]
     within = reachable_parts(store, table, current, changes, key, immutable)
-    target = store.read(table, version=current, parts=within, with_part=True)
+    target = placed(store.read(table, version=current, parts=within, with_part=True, with_file=True))
+    changes = changes.select("*", F.xxhash64("_metadata.file_path").alias(PLACE[0]),
+                             F.col("_metadata.row_index").alias(PLACE[1]))
+    # A replaced key takes all its rows along, should the table hold it more than once.
+    replaced = F.max("newer").over(Window.partitionBy(key))
     with shuffles_removed(spark):
-        matches(target, changes, key, newest_first[0]).write.parquet(f"{scratch}/matches")
+        matches(target, changes, key, newest_first[0]).withColumn("replaced", replaced).drop(key).write.parquet(
+            f"{scratch}/matches")
     hit = spark.read.parquet(f"{scratch}/matches")
     # As many values as the table has parts with a replaced row.
     dropped = [r[PART] for r in hit.filter("newer").select(PART).distinct().collect()]
-    fresh = without(changes, hit.filter("not newer"), key).select(*names)
+    known = hit.filter("not newer").select(*(f"_change{c}" for c in PLACE))
+    fresh = unmarked(changes, kept(marks(known), f"{scratch}/known")).select(*names)
     # A row without a key is fresh, which a scan tells; only else the join is asked.
     if not dropped and changes.filter(F.col(key).isNull()).isEmpty() and fresh.isEmpty():
         store.files.remove(scratch)
         return current
     rows = fresh
     if dropped:
-        affected = store.read(table, version=current, parts=dropped)
-        rows = without(affected, hit.filter("newer"), key).select(*names).unionByName(fresh)
+        affected = placed(store.read(table, version=current, parts=dropped, with_file=True))
+        gone = kept(marks(hit.filter("replaced").select(*PLACE)), f"{scratch}/gone")
+        rows = unmarked(affected, gone).select(*names).unionByName(fresh)
     version = store.write(table, rows, ref, "upsert", layout, sort_by, dropped=dropped,
                           batch=batch, expected=current)
     store.files.remove(scratch)

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from depotlake.operators import upsert
 from depotlake.operators.upsert import merge, update_where, upsert_into
 from depotlake.plans.jobs import MONTHLY
 from depotlake.sources.store import MAIN
@@ -116,3 +117,31 @@ def test_update_where_keeps_rows_with_unknown_condition(trade_rows):
     fixed = update_where(rows, F.col("amount") < 0, {"amount": -F.col("amount")})
     assert {r.trade_id: r.amount for r in fixed.collect()} == {1: 3, 2: None, 3: 10}
     assert fixed.schema == rows.schema
+
+
+def test_rows_are_left_out_by_their_places(spark):
+    """Places in several files and blocks, on both sides of a byte and of a block; the way of the join does not matter."""
+    rows = spark.range(0, 100_000, 1, 3).select(F.pmod("id", F.lit(2)).alias(upsert.PLACE[0]), F.col("id").alias(upsert.PLACE[1]))
+    gone = {k for k in range(100_000) if k % 7 == 0 or k in (1, 8, 32_767, 32_768, 65_535, 65_536, 99_999)}
+    marked = upsert.marks(rows.filter(F.col(upsert.PLACE[1]).isin(1, 8, 32_767, 32_768, 65_535, 65_536, 99_999)
+                                      | (F.col(upsert.PLACE[1]) % 7 == 0)))
+    assert marked.count() == 8
+    left = upsert.unmarked(rows, marked)
+    assert {r[1] for r in left.collect()} == set(range(100_000)) - gone and left.columns == list(upsert.PLACE)
+    assert upsert.unmarked(rows, marked.limit(0)).count() == 100_000
+
+
+def test_an_upsert_shuffles_neither_table_nor_batch_for_its_joins(store, trade_rows, monkeypatch):
+    """Rows are left out where they are."""
+    def no_join(*args, **kwargs):
+        raise AssertionError("whole rows were joined by key")
+
+    monkeypatch.setattr(upsert, "without", no_join)
+    late = datetime(2020, 5, 1)
+    store.write("trade", trade_rows({}, {"trade_id": 2}, {"trade_id": 3, "trade_ts": late},
+                                    {"trade_id": None}, {"trade_id": 4}), MAIN, layout=MONTHLY)
+    upsert_into(store, "trade", trade_rows({"updated_ts": NEW, "broker_id": 6}, {"trade_id": 3, "broker_id": 7, "updated_ts": OLD},
+                                           {"trade_id": 2, "broker_id": 8, "updated_ts": NEW}, {"trade_id": 9, "broker_id": 9},
+                                           {"trade_id": None, "broker_id": 10}), MAIN)
+    found = sorted((r.trade_id or 0, r.broker_id) for r in store.read("trade").collect())
+    assert found == [(0, 5), (0, 10), (1, 6), (2, 8), (3, 5), (4, 5), (9, 9)]
