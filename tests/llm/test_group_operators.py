@@ -221,6 +221,77 @@ def test_pairs_that_pivots_leave_apart_are_still_met():
     assert set(found.itertuples(index=False, name=None)) == {(a, b) for b in range(6) for a in range(b)} - {(0, 1)}
 
 
+def test_pivots_and_pairs_across_leave_out_no_open_pair():
+    """Lists of any length, cut by batches anywhere: what ``_with_pivots`` puts forward and what ``_across`` adds, with each
+    set a component of its own, are all open pairs of all lists, by plain arithmetic."""
+    rng = random.Random(3)
+    rows = pd.DataFrame([(key, rng.getrandbits(60), n, rng.randrange(1 + n // 5)) for key in range(120)
+                         for n in rng.choices(range(20, 90), k=rng.choice([1, 2, 2, 2, 3, 7, 40]))], columns=["key", "sig", "n", "pos"])
+
+    def similar_at_most(x, y):
+        shared = min(min(x.pos, y.pos) + min(x.n - x.pos, y.n - y.pos), x.n, y.n)
+        return 9 * shared >= 4 * (x.n + y.n)
+
+    expected = set()
+    for _, members in rows.groupby("key"):
+        held = list(members.itertuples(index=False))
+        expected |= {(min(x.sig, y.sig), max(x.sig, y.sig)) for k, x in enumerate(held) for y in held[:k] if similar_at_most(x, y)}
+    cuts = sorted({0, len(rows), *rng.sample(range(len(rows)), 25)})
+    pieces = [rows[a:b] for a, b in zip(cuts, cuts[1:])]
+    found = pd.concat(jaccard._with_pivots(iter([rows[:0], *pieces])))
+    first = set(found[found.kind == 0][["a", "b"]].itertuples(index=False, name=None))
+    longer = found[found.kind == 1].rename(columns={"a": "sig"}).assign(root=lambda x: x.sig)[["key", "sig", "n", "pos", "root"]]
+    assert len(longer) == sum(count for count in rows.groupby("key").size() if count > 2)
+    second = set(pd.concat(jaccard._across(iter([longer[:70], longer[70:]]))).itertuples(index=False, name=None))
+    assert first and first < expected and first | second == expected
+
+
+def test_parities_rule_out_unlike_sets_of_any_size_and_no_similar_ones(spark):
+    """Pairs just within and beyond the limit; sizes on both sides of a power of two, where classes are folded."""
+    rng = np.random.default_rng(2)
+    sets, pairs = [], []
+    for n, m, shared in [(9, 9, 8), (9, 9, 1), (70, 60, 58), (2100, 2040, 1840), (2040, 1700, 1663), (2040, 1700, 0),
+                         (4096, 4097, 3642), (5000, 5200, 3000), (5000, 5200, 100), (3, 4000, 3), (1, 1, 0), (60, 75, 60)]:
+        hashes = rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
+        pairs.append((len(sets), len(sets) + 1))
+        sets += [np.sort(hashes[:n]), np.sort(hashes[n - shared:])]
+    similar = {(a, b) for a, b in pairs if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    prints = spark.createDataFrame([(k, len(x), jaccard.parities(x).view(np.int64).tolist()) for k, x in enumerate(sets)],
+                                   "sig long, n int, bits array<long>")
+    got = {tuple(r) for r in jaccard._possible(spark.createDataFrame(pairs, "a long, b long"), prints).collect()}
+    assert len(similar) == 6 and similar <= got
+    # Long unlike sets are ruled out too, as classes follow the sizes.
+    assert not got & {(10, 11), (14, 15), (16, 17), (18, 19)}
+
+
+@pytest.mark.parametrize("at_once", [0, 1])
+def test_few_pairs_are_compared_at_once(spark, at_once, monkeypatch):
+    """With no more pairs than sets one comparison for each of both passes does; rounds give the same components."""
+    asked, similar = [], jaccard._similar
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", at_once)
+    monkeypatch.setattr(jaccard, "_similar", lambda *args: asked.append(1) or similar(*args))
+    rng = random.Random(1)
+    rows = []
+    for group in range(8):
+        base = [f"g{group}w{k}" for k in range(60)]
+        rows += [(10 * group + k, " ".join([*base, *(f"end{rng.random()}" for _ in range(k))])) for k in range(4)]
+    sets = sets_by_force(rows + [(500 + k, f"text {k} of its own") for k in range(100)])
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    got = jaccard.near_duplicates(docs_of(spark, rows + [(500 + k, f"text {k} of its own") for k in range(100)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == union_find(sets, links)
+    assert len(asked) == 2 if at_once else len(asked) > 2
+
+
+def test_the_sample_for_frequent_shingles_grows_with_the_rows(spark, monkeypatch):
+    """A shingle of many sets is told as frequent however many sets there are beside them."""
+    asked, sample = [], jaccard.bounded_sample
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 10)
+    monkeypatch.setattr(jaccard, "bounded_sample", lambda df, keys, rows: asked.append(rows) or sample(df, keys, rows))
+    rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the very same opening words "), F.col("id")).alias("text"),
+                                    F.lit(0).cast("long").alias("text_hash"))
+    assert len(jaccard._frequent(rows)) == 1 and asked == [2000 * jaccard.FREQUENT // jaccard.WIDE]
+
+
 def test_fingerprints_within_four_bits_are_candidates(spark, monkeypatch):
     """The stage links copies that only fingerprints put forward; a pair within the bits that shares too little is no link."""
     rng = random.Random(5)
