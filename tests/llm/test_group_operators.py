@@ -221,29 +221,35 @@ def test_pairs_that_pivots_leave_apart_are_still_met():
     assert set(found.itertuples(index=False, name=None)) == {(a, b) for b in range(6) for a in range(b)} - {(0, 1)}
 
 
-def test_pivots_and_pairs_across_leave_out_no_open_pair():
+@pytest.mark.parametrize("with_bits", [False, True])
+def test_pivots_and_pairs_across_leave_out_no_similar_pair(with_bits):
     """Lists of any length, cut by batches anywhere: what ``_with_pivots`` puts forward and what ``_across`` adds, with each
-    set a component of its own, are all open pairs of all lists, by plain arithmetic."""
-    rng = random.Random(3)
-    rows = pd.DataFrame([(key, rng.getrandbits(60), n, rng.randrange(1 + n // 5)) for key in range(120)
-                         for n in rng.choices(range(20, 90), k=rng.choice([1, 2, 2, 2, 3, 7, 40]))], columns=["key", "sig", "n", "pos"])
-
-    def similar_at_most(x, y):
-        shared = min(min(x.pos, y.pos) + min(x.n - x.pos, y.n - y.pos), x.n, y.n)
-        return 9 * shared >= 4 * (x.n + y.n)
-
-    expected = set()
-    for _, members in rows.groupby("key"):
-        held = list(members.itertuples(index=False))
-        expected |= {(min(x.sig, y.sig), max(x.sig, y.sig)) for k, x in enumerate(held) for y in held[:k] if similar_at_most(x, y)}
-    cuts = sorted({0, len(rows), *rng.sample(range(len(rows)), 25)})
-    pieces = [rows[a:b] for a, b in zip(cuts, cuts[1:])]
-    found = pd.concat(jaccard._with_pivots(iter([rows[:0], *pieces])))
-    first = set(found[found.kind == 0][["a", "b"]].itertuples(index=False, name=None))
-    longer = found[found.kind == 1].rename(columns={"a": "sig"}).assign(root=lambda x: x.sig)[["key", "sig", "n", "pos", "root"]]
-    assert len(longer) == sum(count for count in rows.groupby("key").size() if count > 2)
-    second = set(pd.concat(jaccard._across(iter([longer[:70], longer[70:]]))).itertuples(index=False, name=None))
-    assert first and first < expected and first | second == expected
+    set a component of its own, holds every similar pair of random sets, by plain arithmetic; and not all pairs."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    sets = []
+    for size in (5, 9, 30, 63, 64, 70, 200, 1030):
+        for copies in (1, 2, 3, 12):
+            base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            for _ in range(copies):
+                kept = base[rng.random(size) > rng.choice([0.02, 0.1, 0.2])]
+                more = rng.integers(0, 1 << 63, rng.integers(0, 2 + size // 12), dtype=np.uint64)
+                sets.append(np.unique(np.concatenate([kept, more, common])))
+    for frequent in (np.zeros(0, "<u8"), np.sort(common[:7])):
+        rows = pd.DataFrame([(int(np.uint64(key).astype(np.int64)), sig, len(found), pos) for sig, found in enumerate(sets)
+                             for pos, key in enumerate(jaccard.prefix(found, frequent))], columns=["key", "sig", "n", "pos"])
+        rows = rows.sort_values("key", kind="stable", ignore_index=True)
+        cuts = sorted({0, len(rows), *rng.integers(0, len(rows), 25).tolist()})
+        found = pd.concat(jaccard._with_pivots(iter([rows[:0], *(rows[a:b] for a, b in zip(cuts, cuts[1:]))])))
+        first = set(found[found.kind == 0][["a", "b"]].itertuples(index=False, name=None))
+        longer = found[found.kind == 1].rename(columns={"a": "sig"}).assign(root=lambda x: x.sig)[["key", "sig", "n", "pos", "root"]]
+        assert len(longer) == sum(count for count in rows.groupby("key").size() if count > 2)
+        if with_bits:
+            longer["bits"] = [jaccard.parities(sets[sig]).view(np.int64) for sig in longer.sig]
+        second = set(pd.concat(jaccard._across(iter([longer[:70], longer[70:]]))).itertuples(index=False, name=None))
+        similar = {(a, b) for b in range(len(sets)) for a in range(b)
+                   if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+        assert len(similar) > 100 and similar <= first | second and len(first | second) < len(sets) * (len(sets) - 1) // 2
 
 
 def test_parities_rule_out_unlike_sets_of_any_size_and_no_similar_ones(spark):
